@@ -109,6 +109,13 @@ def quantiles(
     if not group:
         df, group = df.withColumn("_all", F.lit(0)), ["_all"]
     table = value_ranks(df, group, value, rows_per_bucket)
+    return quantiles_of(table, group, value, probs, names).select(*keys, *names)
+
+
+def quantiles_of(
+    table: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    """``quantiles`` from a ``value_ranks`` table."""
     aggs = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_size") - 1)
@@ -116,17 +123,8 @@ def quantiles(
             covers = (F.col("_below") <= k) & (k < F.col("_below") + F.col("_c"))
             aggs.append(F.max(F.when(covers, F.col(value))).alias(f"_{side}{i}"))
         aggs.append(F.max(pos - F.floor(pos)).alias(f"_w{i}"))
-    at = table.groupBy(*group).agg(*aggs)
     cols = [
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(name)
         for i, name in enumerate(names)
     ]
-    return at.select(*keys, *cols)
-
-
-def pick_bin(value, edges: Sequence) -> "F.Column":
-    """Right-closed bin number: 1 + edges below the value."""
-    out = F.lit(1)
-    for e in edges:
-        out = out + F.when(value > e, 1).otherwise(0)
-    return F.when(value.isNotNull(), out)
+    return table.groupBy(*keys).agg(*aggs).select(*keys, *cols)

@@ -6,6 +6,9 @@ from tickloom.plans.registry import REGISTRY
 
 for _m in (
     "technical",
+    "cross_section",
+    "season",
+    "hygiene",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 

@@ -72,8 +72,8 @@ def dirty_bars(spark: SparkSession, sf: str, by: str = "type") -> DataFrame:
         "instrument",
         "date",
         F.when(v % 13 == 0, -F.col("open")).otherwise(F.col("open")).alias("open"),
-        F.when(v % 11 == 0, F.col("low") * 0.9).otherwise(F.col("high")).alias("high"),
-        F.when(v % 17 == 0, F.col("high") * 1.1).otherwise(F.col("low")).alias("low"),
+        F.when(v % 11 == 0, F.col("low") - 1).otherwise(F.col("high")).alias("high"),
+        F.when(v % 17 == 0, F.col("high") + 1).otherwise(F.col("low")).alias("low"),
         F.when(v % 19 != 0, F.col("close")).alias("close"),
         F.when(v % 23 == 0, -v).when(v % 7 != 0, v).alias("volume"),
         "close_adj",
@@ -87,8 +87,8 @@ def dirty_bars_sql(by: str = "type") -> list[str]:
 bars AS (
   SELECT instrument, date,
          CASE WHEN volume % 13 = 0 THEN -open ELSE open END AS open,
-         CASE WHEN volume % 11 = 0 THEN low * 0.9 ELSE high END AS high,
-         CASE WHEN volume % 17 = 0 THEN high * 1.1 ELSE low END AS low,
+         CASE WHEN volume % 11 = 0 THEN low - 1 ELSE high END AS high,
+         CASE WHEN volume % 17 = 0 THEN high + 1 ELSE low END AS low,
          CASE WHEN volume % 19 <> 0 THEN close END AS close,
          CASE WHEN volume % 23 = 0 THEN -volume WHEN volume % 7 <> 0 THEN volume END AS volume,
          close_adj
