@@ -9,6 +9,7 @@ for _m in (
     "cross_section",
     "season",
     "hygiene",
+    "quality",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 
