@@ -10,6 +10,9 @@ for _m in (
     "season",
     "hygiene",
     "quality",
+    "lake",
+    "catalog",
+    "news",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 

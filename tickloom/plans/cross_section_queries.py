@@ -40,8 +40,8 @@ register(
 
 
 def _single(s, sf):
-    b = t.returns(v.bars(s, sf).where("instrument = 'PROMO'"))
-    return rounded(x.single_benchmark(b).select("date", "benchmark_return"), 8)
+    b = t.returns(v.bars(s, sf))
+    return rounded(x.single_benchmark(b).select("instrument", "date", "benchmark_return"), 8)
 
 
 register(
@@ -50,8 +50,8 @@ register(
     _single,
     with_ctes(
         [v.bars_sql(), _RET],
-        f"""SELECT date, {r("coalesce(" + _full('avg(log_return)', 'log_return', 5) + ", 0) * 0.8", 'benchmark_return', 8)}
-        FROM ret WHERE instrument = 'PROMO'""",
+        f"""SELECT instrument, date, {r("coalesce(" + _full('avg(log_return)', 'log_return', 5) + ", 0) * 0.8", 'benchmark_return', 8)}
+        FROM ret""""",
     ),
 )
 register(

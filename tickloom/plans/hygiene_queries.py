@@ -156,29 +156,29 @@ register(
 
 
 def earnings(s, sf):
-    return v.event_days(s, sf).where("event_type = 'signup' AND k < 60").select("instrument", "date")
+    return v.event_days(s, sf).where("event_type = 'signup'").select("instrument", "date")
 
 
 def filings(s, sf):
     e = v.event_days(s, sf).where("event_type IN ('view', 'click', 'error')")
     form = F.when(F.col("event_type") == "view", "8-K").when(F.col("event_type") == "click", "10-K").otherwise("10-Q")
-    return e.where("k < 40").select("instrument", "date", form.alias("form_type"))
+    return e.select("instrument", "date", form.alias("form_type"))
 
 
 def trades(s, sf):
     e = v.event_days(s, sf).where("event_type IN ('purchase', 'error')")
     kind = F.when(F.col("event_type") == "purchase", F.when(F.col("k") % 2 == 0, "Purchase").otherwise("BUY")).otherwise("sale")
-    return e.where("k < 30").select("instrument", "date", kind.alias("transaction_type"), (F.col("value") * 10000).alias("value"))
+    return e.select("instrument", "date", kind.alias("transaction_type"), (F.col("value") * 10000).alias("value"))
 
 
 def actions(s, sf):
-    e = v.event_days(s, sf).where("event_type = 'signup' AND k < 20")
+    e = v.event_days(s, sf).where("event_type = 'signup'")
     kind = F.when(F.col("k") % 2 == 0, "dividend").otherwise("Split")
     ratio = F.when(F.col("k") % 3 == 0, F.concat_ws(":", F.col("k").cast("string"), F.lit("2"))).otherwise("n/a")
     return e.select("instrument", "date", kind.alias("action_type"), ratio.alias("ratio"))
 
 
-_EARN = "earn AS (SELECT DISTINCT instrument, date FROM ev WHERE event_type = 'signup' AND k < 60)"
+_EARN = "earn AS (SELECT DISTINCT instrument, date FROM ev WHERE event_type = 'signup')"
 _BASE = [v.EVENT_BARS_SQL, v.EVENT_DAYS_SQL]
 
 register(
@@ -194,7 +194,7 @@ register(
     ),
 )
 _FIL = """fil AS (SELECT instrument, date, CASE event_type WHEN 'view' THEN '8-K' WHEN 'click' THEN '10-K' ELSE '10-Q' END AS form_type
-  FROM ev WHERE event_type IN ('view', 'click', 'error') AND k < 40)"""
+  FROM ev WHERE event_type IN ('view', 'click', 'error'))"""
 register(
     "filing_proximity_join",
     "JOIN-8",
@@ -211,7 +211,7 @@ register(
     ),
 )
 _TRD = """trd AS (SELECT instrument, date, CASE WHEN event_type = 'purchase' THEN CASE WHEN k % 2 = 0 THEN 'Purchase' ELSE 'BUY' END ELSE 'sale' END AS tt,
-  value * 10000 AS value FROM ev WHERE event_type IN ('purchase', 'error') AND k < 30)"""
+  value * 10000 AS value FROM ev WHERE event_type IN ('purchase', 'error'))"""
 register(
     "insider_proximity_join",
     "JOIN-9",
@@ -226,7 +226,7 @@ register(
     ),
 )
 _ACT = """act AS (SELECT instrument, date, k % 2 = 0 AS is_div, CASE WHEN k % 3 = 0 THEN k / 2.0 ELSE 1.0 END AS factor
-  FROM ev WHERE event_type = 'signup' AND k < 20),
+  FROM ev WHERE event_type = 'signup'),
 aday AS (SELECT instrument, date, bool_or(is_div) AS d, bool_or(NOT is_div) AS s, max(factor) FILTER (NOT is_div) AS factor FROM act GROUP BY 1, 2)"""
 register(
     "corporate_action_join",
