@@ -9,6 +9,7 @@ row per pair and date, and numpy works on a block pair inside a task.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -62,28 +63,31 @@ def pair_statistics(
     series: DataFrame,
     kernel: Kernel,
     fields: str,
-    length: int,
     keep: Callable[[dict[str, np.ndarray]], np.ndarray] | None = None,
     per_block: int = PER_BLOCK,
 ) -> DataFrame:
     """Rows (instrument_i, instrument_j, *fields) for every pair i < j.
 
-    ``series`` has instrument, t (0 .. length-1) and v; ``length`` bounds the vector of one
-    instrument. ``kernel(A, B)`` gets two (pairs x length) arrays with NaN for no value and
-    returns one array per field; ``keep`` drops pairs inside the task.
+    ``series`` has instrument, t and v, where t numbers calendar dates from 0, so one vector
+    is bounded by the calendar. ``kernel(A, B)`` gets two (pairs x dates) arrays with NaN for
+    no value and returns one array per field; ``keep`` drops pairs inside the task. With a
+    ``side`` column only pairs across sides are formed, the smaller side first.
     """
-    vectors = series.where(F.col("v").isNotNull()).groupBy("instrument").agg(
+    sided = "side" in series.columns
+    who_cols = ["side", "instrument"] if sided else ["instrument"]
+    vectors = series.where(F.col("v").isNotNull()).groupBy(*who_cols).agg(
         F.collect_list("t").alias("ts"), F.collect_list("v").alias("vs")
     )
     cells = _cells(_with_blocks(vectors, "instrument", per_block)).select(
-        "_p", "_q", "_b", "instrument", "ts", "vs"
+        "_p", "_q", "_b", *who_cols, "ts", "vs"
     )
     names = [f.strip().split()[0] for f in fields.split(",")]
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: Any, pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = key
-        pdf = pdf.sort_values("instrument", ignore_index=True)
+        pdf = pdf.sort_values(who_cols, ignore_index=True)
         who = pdf["instrument"].to_numpy()
+        length = 1 + max(int(np.max(t)) for t in pdf["ts"])
         x = np.full((len(pdf), length), np.nan)
         for i, (t, v) in enumerate(zip(pdf["ts"], pdf["vs"])):
             x[i, np.asarray(t, dtype=int)] = v
@@ -92,6 +96,10 @@ def pair_statistics(
             blocks = pdf["_b"].to_numpy()
             cross = blocks[ia] != blocks[ib]
             ia, ib = ia[cross], ib[cross]
+        if sided:
+            side = pdf["side"].to_numpy()
+            cross = side[ia] != side[ib]
+            ia, ib = ia[cross], ib[cross]
         step = max(1, _CHUNK_VALUES // length)
         parts = []
         for s in range(0, len(ia), step):

@@ -13,6 +13,7 @@ for _m in (
     "lake",
     "catalog",
     "news",
+    "relationship",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 

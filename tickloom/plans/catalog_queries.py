@@ -23,14 +23,14 @@ def _favorites(s, sf):
 
 
 def _popular(s, sf):
-    return v.catalog(s, sf).where("sector <= 'NATION_15'")
+    return v.catalog(s, sf).where("market_cap_category IN ('small_cap', 'mega_cap')")
 
 
 _LISTS = [
     v.CATALOG_SQL,
     "base AS (SELECT symbol FROM catalog WHERE balance >= 1000)",
     "fav AS (SELECT symbol FROM catalog WHERE exchange IN ('ASIA', 'EUROPE'))",
-    "pop AS (SELECT symbol FROM catalog WHERE sector <= 'NATION_15')",
+    "pop AS (SELECT symbol FROM catalog WHERE market_cap_category IN ('small_cap', 'mega_cap'))",
 ]
 
 register(
