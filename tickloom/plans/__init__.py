@@ -14,6 +14,7 @@ for _m in (
     "catalog",
     "news",
     "relationship",
+    "target",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 
