@@ -91,14 +91,29 @@ def cross_correlations(
     return pr.pair_statistics(series, _KERNELS[method], "n long, rho double")
 
 
-def student_p_value(t: Column, dof: Column) -> Column:
-    """Two-sided p of Student's t for integer degrees of freedom: the finite series."""
+def _normal_p(t: Column, dof: Column) -> Column:
+    """Two-sided p for many degrees of freedom: normal tail of the adjusted statistic."""
+    z = F.abs(t) * (1 - 1 / (4 * dof)) / F.sqrt(1 + t * t / (2 * dof))
+    x = z / math.sqrt(2)
+    k = 1 / (1 + 0.3275911 * x)
+    # coefficients of the published polynomial for erfc: fixed values
+    poly = F.lit(0.0)
+    for c in (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592):
+        poly = (poly + c) * k
+    return poly * F.exp(-x * x)
+
+
+def student_p_value(t: Column, dof: Column, series_up_to: int = 1_000) -> Column:
+    """Two-sided p of Student's t for integer degrees of freedom.
+
+    The finite series is exact; beyond ``series_up_to`` degrees the normal tail is used.
+    """
     theta = F.atan(F.abs(t) / F.sqrt(dof))
     c2 = F.pow(F.cos(theta), 2)
     odd = dof % 2 == 1
     terms = F.when(odd, (dof - 1) / 2).otherwise(dof / 2).cast("int")
     init = F.struct(F.lit(0.0).alias("sum"), F.lit(1.0).alias("term"))
-    steps = F.when(terms >= 1, F.sequence(F.lit(1), terms))
+    steps = F.when((terms >= 1) & (dof <= series_up_to), F.sequence(F.lit(1), terms))
     series = F.aggregate(
         steps,
         init,
@@ -112,7 +127,7 @@ def student_p_value(t: Column, dof: Column) -> Column:
     area = F.when(odd, (2 / math.pi) * (theta + F.sin(theta) * F.cos(theta) * total)).otherwise(
         F.sin(theta) * total
     )
-    return F.greatest(F.lit(0.0), 1 - area)
+    return F.when(dof <= series_up_to, F.greatest(F.lit(0.0), 1 - area)).otherwise(_normal_p(t, dof))
 
 
 def significance(edges: DataFrame) -> DataFrame:

@@ -15,6 +15,10 @@ for _m in (
     "news",
     "relationship",
     "target",
+    "model",
+    "research",
+    "stream",
+    "stage",
 ):
     import_module(f"tickloom.plans.{_m}_queries")
 
