@@ -69,8 +69,8 @@ def with_folds(df: DataFrame, k: int = 5, keys=KEYS, order=ORDER) -> DataFrame:
     w = series(keys, order)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     size = F.floor(n / (k + 1))
-    fold = F.floor((F.row_number().over(w) - 1 - (n - k * size)) / size) + 1
-    return df.withColumn("fold", F.greatest(F.lit(0), fold).cast("int"))
+    fold = F.floor(F.try_divide(F.row_number().over(w) - 1 - (n - k * size), size)) + 1
+    return df.withColumn("fold", F.greatest(F.lit(0), F.coalesce(fold, F.lit(0))).cast("int"))
 
 
 # ---- linear fits from sums --------------------------------------------------------------------

@@ -166,7 +166,7 @@ def daily_sentiment(
         hours = (F.unix_micros(F.col("_last")) - F.unix_micros(F.col(timestamp))) / 3.6e9
         rows = rows.join(last, group)
         rw = F.when(x.isNotNull(), F.exp(-decay * hours))
-        extra.append((F.sum(rw * x) / F.sum(rw)).alias("sentiment_recency_weighted"))
+        extra.append(F.try_divide(F.sum(rw * x), F.sum(rw)).alias("sentiment_recency_weighted"))
     if importance:
         iw = F.when(x.isNotNull(), F.coalesce(F.col(importance), F.lit(1.0)))
         extra.append(F.try_divide(F.sum(iw * x), F.sum(iw)).alias("sentiment_volume_weighted"))

@@ -18,7 +18,7 @@ VOL_HORIZONS = (5, 10, 21)
 def forward_returns(df: DataFrame, horizons: Sequence[int] = HORIZONS, keys=KEYS, order=ORDER) -> DataFrame:
     w = series(keys, order)
     return df.withColumns(
-        {f"target_return_{h}d": F.lead("close_adj", h).over(w) / F.col("close_adj") - 1 for h in horizons}
+        {f"target_return_{h}d": F.try_divide(F.lead("close_adj", h).over(w), F.col("close_adj")) - 1 for h in horizons}
     )
 
 
@@ -70,7 +70,7 @@ def market_context(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
     The context holds one row per date; AQE decides whether it is broadcast.
     """
     bench = df.where(F.col("instrument").isin(list(symbols))).select("instrument", "date", "close_adj")
-    bench = bench.withColumn("_r", F.log(F.col("close_adj") / prior(F.col("close_adj"))))
+    bench = bench.withColumn("_r", F.log(F.try_divide(F.col("close_adj"), prior(F.col("close_adj")))))
     bench = bench.withColumn("_v", roll_std(F.col("_r"), 20))
     aggs = []
     for s in symbols:
@@ -92,8 +92,8 @@ def excursions(df: DataFrame, h: int = 10, high_rows: int = 20, keys=KEYS, order
     full = F.count("close_adj").over(ahead) == h
     return df.withColumns(
         {
-            "max_adverse_excursion": F.when(full, F.min("low").over(ahead) / c - 1),
-            "max_favorable_excursion": F.when(full, F.max("high").over(ahead) / c - 1),
+            "max_adverse_excursion": F.when(full, F.try_divide(F.min("low").over(ahead), c) - 1),
+            "max_favorable_excursion": F.when(full, F.try_divide(F.max("high").over(ahead), c) - 1),
             "breakout_continuation": F.when(
                 future.isNotNull() & prior_high.isNotNull(), ((c > prior_high) & (future > c)).cast("int")
             ),

@@ -44,15 +44,15 @@ def returns(df: DataFrame, keys: Sequence[str] = KEYS, order: str = ORDER) -> Da
     before = prior(_c("close_adj"), 1, keys, order)
     return df.withColumns(
         {
-            "simple_return": _c("close_adj") / before - 1,
-            "log_return": F.log(_c("close_adj") / before),
+            "simple_return": F.try_divide(_c("close_adj"), before) - 1,
+            "log_return": F.log(F.try_divide(_c("close_adj"), before)),
         }
     )
 
 
 def fallback_return(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
     """Simple return on the raw close, 0 on the first row."""
-    change = _c("close") / prior(_c("close"), 1, keys, order) - 1
+    change = F.try_divide(_c("close"), prior(_c("close"), 1, keys, order)) - 1
     return df.withColumn("log_ret", F.coalesce(change, F.lit(0.0)))
 
 
@@ -67,7 +67,7 @@ def close_volatility(df: DataFrame, windows=VOL_WINDOWS, keys=KEYS, order=ORDER)
 
 
 def parkinson_volatility(df: DataFrame, windows=VOL_WINDOWS, keys=KEYS, order=ORDER) -> DataFrame:
-    sq = F.pow(F.log(_c("high") / _c("low")), 2)
+    sq = F.pow(F.log(F.try_divide(_c("high"), _c("low"))), 2)
     return df.withColumns(
         {
             f"vol_parkinson_{n}d": F.sqrt(roll_mean(sq, n, keys, order) / (4 * math.log(2))) * _YEAR
@@ -77,8 +77,8 @@ def parkinson_volatility(df: DataFrame, windows=VOL_WINDOWS, keys=KEYS, order=OR
 
 
 def garman_klass_volatility(df: DataFrame, windows=VOL_WINDOWS, keys=KEYS, order=ORDER) -> DataFrame:
-    part = 0.5 * F.pow(F.log(_c("high") / _c("low")), 2) - (2 * math.log(2) - 1) * F.pow(
-        F.log(_c("close") / _c("open")), 2
+    part = 0.5 * F.pow(F.log(F.try_divide(_c("high"), _c("low"))), 2) - (2 * math.log(2) - 1) * F.pow(
+        F.log(F.try_divide(_c("close"), _c("open"))), 2
     )
     out = {}
     for n in windows:
@@ -225,10 +225,10 @@ def roll_spread(df: DataFrame, n: int = 20, keys=KEYS, order=ORDER) -> DataFrame
 def stored_bar_indicators(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
     """Indicator columns the lake stores beside the bars."""
     change = _c("close") - prior(_c("close"), 1, keys, order)
-    pct = _c("close") / prior(_c("close"), 1, keys, order) - 1
+    pct = F.try_divide(_c("close"), prior(_c("close"), 1, keys, order)) - 1
     typical = (_c("high") + _c("low") + _c("close")) / 3
     w = last_rows(20, keys, order)
-    vwap = when_full(typical, F.sum(typical * _c("volume")), w, 20) / F.sum("volume").over(w)
+    vwap = F.try_divide(when_full(typical, F.sum(typical * _c("volume")), w, 20), F.sum("volume").over(w))
     df = df.withColumns({"price_change_abs": change, "price_change": pct})
     vol_sma = roll_mean(_c("volume"), 10, keys, order)
     return df.withColumns(

@@ -266,7 +266,7 @@ _FUND = ("pe_ratio", "revenue_growth", "earnings_surprise")
 def _fundamentals(s, sf):
     b = v.event_bars(s, sf)
     return b.select(
-        "instrument", "date", F.col("close").alias("pe_ratio"), (F.col("high") / F.col("open")).alias("revenue_growth"), F.col("volume").cast("double").alias("earnings_surprise")
+        "instrument", "date", F.col("close").alias("pe_ratio"), F.try_divide("high", "open").alias("revenue_growth"), F.col("volume").cast("double").alias("earnings_surprise")
     )
 
 
@@ -280,7 +280,7 @@ def _pr(c):
     with_ctes(
         [
             v.EVENT_BARS_SQL,
-            "fu AS (SELECT instrument, date, close AS pe_ratio, high / open AS revenue_growth, CAST(volume AS DOUBLE) AS earnings_surprise FROM ebars)",
+            "fu AS (SELECT instrument, date, close AS pe_ratio, high / nullif(open, 0) AS revenue_growth, CAST(volume AS DOUBLE) AS earnings_surprise FROM ebars)",
             "fr AS (SELECT instrument, date, " + ", ".join(f"{_pr(c)} AS {c}_rank" for c in _FUND) + " FROM fu)",
             "fs AS (SELECT *, (pe_ratio_rank + revenue_growth_rank + earnings_surprise_rank) / 3 AS fundamental_score FROM fr)",
         ],
@@ -460,7 +460,7 @@ register(
     "DOC-18",
     lambda s, sf: rounded(rs.eps_changes(v.event_bars(s, sf).select(F.col("instrument").alias("symbol"), "date", F.col("close").alias("eps")))),
     with_ctes(
-        [v.EVENT_BARS_SQL, f"ep AS (SELECT instrument AS symbol, date, close AS eps, abs(close - lag(close) OVER ({_W})) / abs(lag(close) OVER ({_W})) * 100 AS ch FROM ebars)"],
+        [v.EVENT_BARS_SQL, f"ep AS (SELECT instrument AS symbol, date, close AS eps, abs(close - lag(close) OVER ({_W})) / nullif(abs(lag(close) OVER ({_W})), 0) * 100 AS ch FROM ebars)"],
         f"SELECT symbol, date, {r('eps', 'eps')}, {r('ch', 'eps_change')}, coalesce(ch > 500, false) AS excessive FROM ep",
     ),
 )
@@ -474,7 +474,7 @@ register(
             v.EVENT_BARS_SQL,
             v.EVENT_DAYS_SQL,
             hq._ACT,
-            f"mv AS (SELECT instrument, date, coalesce(abs(close / lag(close) OVER ({_W}) - 1) > 0.5, false) AS big FROM ebars)",
+            f"mv AS (SELECT instrument, date, coalesce(abs(close / nullif(lag(close) OVER ({_W}), 0) - 1) > 0.5, false) AS big FROM ebars)",
             """af AS (SELECT m.instrument, m.date, any_value(big) AS big, coalesce(bool_or(d AND a.date = m.date), false) AS ex, coalesce(bool_or(d), false) AS dv,
               coalesce(bool_or(s AND abs(a.date - m.date) <= 1), false) AS sp FROM mv m LEFT JOIN aday a ON a.instrument = m.instrument AND abs(a.date - m.date) <= 3 GROUP BY 1, 2)""",
         ],

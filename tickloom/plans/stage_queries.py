@@ -20,7 +20,7 @@ def _chain(s, sf):
 
     st.stage("day_range", ("high", "low"))(day_range)
     st.stage("returns", ("instrument", "date", "close_adj"))(t.returns)
-    out = st.run_stages(v.bars(s, sf), ["returns", "day_range", "season", "targets"], {"targets": {"horizons": (5,)}})
+    out = st.run_stages(v.bars(s, sf), ["returns", "day_range", "season", "targets"], {"targets": {"horizons": (5,)}}, tables=False)
     return rounded(out.select("instrument", "date", "log_return", "day_range", "turn_of_month", "month_end", "target_return_5d", "target_class_5d"))
 
 
@@ -44,9 +44,9 @@ register(
 
 
 def _full_chain(s, sf):
-    """Hygiene through targets on every type's daily bars: the whole feature table."""
+    """Hygiene through targets on every type's daily bars."""
     out = st.run_stages(
-        v.bars(s, sf), ["hygiene", "base_features", "cross_section", "season", "regimes", "targets"], {"hygiene": {"min_volume": 1}}
+        v.bars(s, sf), ["hygiene", "base_features", "cross_section", "season", "regimes", "targets"], {"hygiene": {"min_volume": 1}, "cross_section": {"beta_windows": (60,)}, "targets": {"horizons": (5,)}}
     )
     return rounded(
         out.select(

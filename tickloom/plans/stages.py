@@ -1,7 +1,8 @@
 """Named stages: DataFrame -> DataFrame steps a user can add to and chain.
 
-A stage declares the columns it needs; the chain is one lazy plan. Write the result of a wide
-stage to a table when several later jobs read it.
+A stage declares the columns it needs. Between stages the result is written to a table in the
+shared folder, because a stage reads its input several times (ranks, quantiles, benchmark) and
+chained reads would multiply.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tickloom.operators import hygiene as h
 from tickloom.operators import season as z
 from tickloom.operators import targets as tg
 from tickloom.operators import technical as t
+from tickloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -52,8 +54,13 @@ def run_stage(df: DataFrame, name: str, **options) -> DataFrame:
     return STAGES[name].run(df, **options)
 
 
-def run_stages(df: DataFrame, names: Sequence[str], options: dict[str, dict] | None = None) -> DataFrame:
+def run_stages(
+    df: DataFrame, names: Sequence[str], options: dict[str, dict] | None = None, tables: bool = True
+) -> DataFrame:
+    """Chain stages; ``tables=False`` keeps one lazy plan, which suits short chains."""
     for name in names:
+        if tables:
+            df = materialise(df, f"before-{name}")
         df = df.transform(lambda d, n=name: run_stage(d, n, **(options or {}).get(n, {})))
     return df
 
@@ -61,7 +68,7 @@ def run_stages(df: DataFrame, names: Sequence[str], options: dict[str, dict] | N
 @stage("hygiene", _BARS)
 def hygiene(df: DataFrame, min_volume: float = 0.0, min_price: float = 0.0) -> DataFrame:
     """Adjusted close, winsorised bars, thresholds, calendar, as-of time and quality score."""
-    df = h.winsorise(h.resolve_adjusted_close(df))
+    df = materialise(h.winsorise(h.resolve_adjusted_close(df)), "winsorised")
     df = h.align_calendar(h.threshold_filter(df, min_volume, min_price))
     return h.row_quality_score(h.as_of_time(df))
 
@@ -76,7 +83,7 @@ def cross_section(df: DataFrame, beta_windows: Sequence[int] = x.BETA_WINDOWS) -
     """Benchmark, beta, alpha, universe flags and ranks of the features present."""
     df = x.join_benchmark(df, x.market_return(df))
     df = x.r_squared(x.idiosyncratic_volatility(x.beta_alpha(df, beta_windows), beta_windows), beta_windows)
-    df = x.universe_size(x.universe_flags(df))
+    df = materialise(x.universe_size(x.universe_flags(df)), "universe")
     features = [f for f in x.RANK_FEATURES if f in df.columns]
     if not features:
         return df

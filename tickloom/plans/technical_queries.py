@@ -314,7 +314,7 @@ WITH k AS (
   SELECT event_id, event_type AS instrument, ts, value AS close, value + 1 AS high, value / 2 AS low, user_id + 1 AS volume
   FROM events),
 p AS (
-  SELECT *, close - lag(close) OVER ({_TICK_W}) AS ca, close / lag(close) OVER ({_TICK_W}) - 1 AS cp,
+  SELECT *, close - lag(close) OVER ({_TICK_W}) AS ca, close / nullif(lag(close) OVER ({_TICK_W}), 0) - 1 AS cp,
          (high + low + close) / 3 AS tp FROM k)
 SELECT instrument, event_id, {r('ca', 'price_change_abs', 4)}, {r('cp', 'price_change', 4)},
        {r(_tick_frame('avg(close)', 'close', 5), 'sma_5', 4)},

@@ -52,3 +52,14 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df, name: str):
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage between wide steps: later steps that read the table several times do not
+    repeat the work, and a lost executor costs one task's re-read.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
