@@ -8,6 +8,7 @@ from tickloom.operators import cross_section as x
 from tickloom.operators import technical as t
 from tickloom.plans import views as v
 from tickloom.plans.registry import query, r, register, rounded, with_ctes
+from tickloom.session import materialise
 
 _W = "PARTITION BY instrument ORDER BY date"
 
@@ -135,9 +136,10 @@ _FEATS = x.RANK_FEATURES
 
 
 def _rank_panel(spark, sf):
+    """Ranking reads its input three times, so the feature panel is written once."""
     b = t.returns(v.bars(spark, sf, "supplier", "week"))
     b = t.rolling_returns(b, (21, 63, 126))
-    return t.close_volatility(b, (20, 60)).select("instrument", "date", *_FEATS)
+    return materialise(t.close_volatility(b, (20, 60)).select("instrument", "date", *_FEATS), "rank-panel")
 
 
 _RANK_CTES = [
