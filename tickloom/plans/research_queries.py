@@ -271,7 +271,9 @@ def _fundamentals(s, sf):
 
 
 def _pr(c):
-    return f"(rank() OVER (PARTITION BY date ORDER BY {c}) + (count(*) OVER (PARTITION BY date, {c}) - 1) / 2.0) / count(*) OVER (PARTITION BY date)"
+    """Percent rank among the values of the date; a NULL has no rank and is not counted."""
+    return f"""CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY date ORDER BY {c} NULLS LAST)
+      + (count(*) OVER (PARTITION BY date, {c}) - 1) / 2.0) / count({c}) OVER (PARTITION BY date) END"""
 
 
 @query(

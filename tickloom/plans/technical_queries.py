@@ -301,7 +301,7 @@ def _stored(spark, sf):
             "volume_sma_10",
             "volume_ratio",
         ),
-        4,
+        7,
     )
 
 
@@ -316,11 +316,11 @@ WITH k AS (
 p AS (
   SELECT *, close - lag(close) OVER ({_TICK_W}) AS ca, close / nullif(lag(close) OVER ({_TICK_W}), 0) - 1 AS cp,
          (high + low + close) / 3 AS tp FROM k)
-SELECT instrument, event_id, {r('ca', 'price_change_abs', 4)}, {r('cp', 'price_change', 4)},
-       {r(_tick_frame('avg(close)', 'close', 5), 'sma_5', 4)},
-       {r(_tick_frame('sum(tp * volume)', 'tp', 20) + ' / ' + _tick_frame('sum(volume)', 'volume', 20), 'vwap', 4)},
-       {r(_tick_frame('stddev_samp(cp)', 'cp', 10), 'volatility_10', 4)},
-       {r(_tick_frame('avg(volume)', 'volume', 10), 'volume_sma_10', 4)},
-       {r('volume / ' + _tick_frame('avg(volume)', 'volume', 10), 'volume_ratio', 4)}
+SELECT instrument, event_id, {r('ca', 'price_change_abs', 7)}, {r('cp', 'price_change', 7)},
+       {r(_tick_frame('avg(close)', 'close', 5), 'sma_5', 7)},
+       {r(_tick_frame('sum(tp * volume)', 'tp', 20) + ' / ' + _tick_frame('sum(volume)', 'volume', 20), 'vwap', 7)},
+       {r(_tick_frame('stddev_samp(cp)', 'cp', 10), 'volatility_10', 7)},
+       {r(_tick_frame('avg(volume)', 'volume', 10), 'volume_sma_10', 7)},
+       {r('volume / ' + _tick_frame('avg(volume)', 'volume', 10), 'volume_ratio', 7)}
 FROM p""",
 )
