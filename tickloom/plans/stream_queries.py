@@ -94,13 +94,16 @@ register(
 register(
     "stream_gap_sessions",
     "STR-5",
-    lambda s, sf: jobs.run_available(jobs.gap_sessions(_source(s, sf), "1 hour"), "sessions").select(
+    lambda s, sf: jobs.run_available(
+        jobs.gap_sessions(_source(s, sf).withColumn("instrument", F.col("size").cast("string")), "1 hour"), "sessions"
+    ).select(
         "instrument", F.unix_timestamp("first_ts").alias("first_epoch"), F.unix_timestamp("last_ts").alias("last_epoch"), "rows"
     ),
     with_ctes(
         [
             _TK,
-            "br AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS b FROM tk WINDOW w AS (PARTITION BY instrument ORDER BY ts))",
+            "us AS (SELECT CAST(size AS VARCHAR) AS instrument, ts FROM tk)",
+            "br AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS b FROM us WINDOW w AS (PARTITION BY instrument ORDER BY ts))",
             "sn AS (SELECT *, sum(b) OVER (PARTITION BY instrument ORDER BY ts) AS g FROM br)",
         ],
         f"""SELECT instrument, CAST(floor(epoch(min(ts))) AS BIGINT) AS first_epoch, CAST(floor(epoch(max(ts))) AS BIGINT) AS last_epoch, count(*) AS rows FROM sn GROUP BY instrument, g
