@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from tickloom.session import scratch
 
@@ -35,6 +37,17 @@ def steps(texts: list[str], most: int = STEP_CHARS) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow's form of a table's columns; needs the session, so ask on the driver."""
+    return to_arrow_schema(_parse_datatype_string(ddl))
+
+
+def batch_of(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
+    """A batch of one row at least."""
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=kind)
+
+
 def map_texts(
     df: DataFrame, id_col: str, text_col: str, schema: str, work: Callable[[list, list[str]], dict[str, list]]
 ) -> DataFrame:
@@ -42,10 +55,7 @@ def map_texts(
 
     Only the two columns named reach Python; null texts arrive as empty ones.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    kind = to_arrow_schema(_parse_datatype_string(schema))
+    kind = arrow_schema(schema)
     narrow = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
 
     def run(batches):

@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe_codec, simhash, token_transducer
+from tickloom.llm import (
+    bpe_codec,
+    chat,
+    packing,
+    quality_rules,
+    secret_linking,
+    simhash,
+    syncmers,
+    token_transducer,
+    url_rules,
+    warc,
+)
 from tickloom.llm.common import table
 
 QUERIES = {}
@@ -30,6 +41,26 @@ def op2_token_counts(spark, sf_dir):
     return token_transducer.count_tokens(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op3_secrets(spark, sf_dir):
+    found = secret_linking.find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    base = (secret_linking.ASSIGN, secret_linking.ACCESS, secret_linking.HEX)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_linking.said(of(*base)), 256).alias("base_sha256"),
+        secret_linking.said("spans").alias("spans"),
+    )
+
+
+@query
+def op4_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    placed = packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=2, window=4096)
+    return placed.drop("piece_no")
+
+
 @query
 def op5_simhash_classes(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, seed=42, budget=4)
@@ -38,3 +69,66 @@ def op5_simhash_classes(spark, sf_dir):
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op6_warc(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+@query
+def op7_syncmers(spark, sf_dir):
+    return syncmers.compare_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_chat(spark, sf_dir):
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.render_turns(turns))
+
+
+#: Fixed values: (host, path, verdict) of the rules.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op9_url_rules(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+SQL["op9_url_rules"] = f"""
+WITH parsed AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+rules(r_host, r_path, r_verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+fitting AS (
+  SELECT page_id, host, path, max(length(r_host) + length(r_path)) AS size,
+    arg_max(r_host || r_path, length(r_host) + length(r_path)) AS rule,
+    arg_max(r_verdict, length(r_host) + length(r_path)) AS verdict
+  FROM parsed LEFT JOIN rules
+    ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
+  GROUP BY page_id, host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting
+"""
+
+
+@query
+def op10_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    judged = quality_rules.judge(texts, rules)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
