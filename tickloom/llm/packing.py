@@ -22,11 +22,16 @@ Null text counts as empty: a document of one id, the end mark. Repeated rows are
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,8 +39,10 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import arrow_schema, batch_of, steps, stored, text_of
 
-#: Words remembered by a worker; the memory is emptied when it is full.
-REMEMBERED = 500_000
+#: Words remembered by a worker in each of two generations: a full one replaces the former, and words seen again move on.
+REMEMBERED = 300_000
+#: Lower-case words without marks that combine: NFC leaves them as they are.
+LATIN = re.compile("[!-~\u00a1-\u024f]+")
 #: Most pieces of a shard, on average.
 SHARD = 40_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece_no bigint"
@@ -43,27 +50,73 @@ PLACED = f"{PIECES}, sequence_id bigint, offset bigint, window bigint, step_id b
 
 
 class WordIds:
-    """Ids of whole texts by a tokenizer that drops white space and keeps words apart."""
+    """Ids of whole texts by a tokenizer that drops white space and keeps words apart.
+
+    New words go through the library's whole chain, or, where the chain is the usual one (NFC, lower case, a split
+    pattern, bytes as printable signs) and the word has Latin letters and signs only, straight to its BPE model: the
+    rest of the chain is plain for those, and calling it for one word costs several times the merges.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads for short words only add to its time
         self.library = tokenizers.Tokenizer.from_file(path)
+        self.model = self.library.model
         self.known: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
+        with open(path) as f:
+            chain = json.load(f)
+        self.split = self._split_pattern(chain)
+        special = [re.escape(t["content"].lower()) for t in chain["added_tokens"]]
+        self.special = re.compile("|".join(special) or "(?!)")
+        # the printable sign of each byte, as byte-level tokenizers have it
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        shifted = iter(range(0x100, 0x200))
+        self.signs = {b: b if b in plain else next(shifted) for b in range(256)}
+
+    @staticmethod
+    def _split_pattern(chain: dict):
+        usual = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+        steps = (chain.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        if (chain.get("normalizer") or {}).get("normalizers") != usual or len(steps) != 2:
+            return None
+        head, tail = steps
+        if (head.get("type"), head.get("behavior"), head.get("invert")) != ("Split", "Removed", True):
+            return None
+        if (tail.get("type"), tail.get("add_prefix_space"), tail.get("use_regex")) != ("ByteLevel", False, False):
+            return None
+        return regex.compile(head["pattern"]["Regex"])
 
     @staticmethod
     @lru_cache(2)
     def load(path: str) -> WordIds:
         return WordIds(path)
 
+    def _latin(self, word: str) -> list[int]:
+        ids = []
+        for part in self.split.findall(word):
+            ids += [t.id for t in self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.signs))]
+        return ids
+
+    def _new(self, words: list[bytes]) -> list[list[int]]:
+        texts = [w.decode() for w in words]
+        low = [t.lower() for t in texts]
+        plain = [self.split is not None and LATIN.fullmatch(t) is not None and not self.special.search(t) for t in low]
+        rest = [t for t, p in zip(texts, plain, strict=True) if not p]
+        whole = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [self._latin(t) if p else next(whole).ids for t, p in zip(low, plain, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.encode().split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = list({w for words in split for w in words if w not in self.known})
+            self.known, self.former = {}, self.known
+        unseen = set().union(*split).difference(self.known)
+        again = unseen.intersection(self.former)
+        self.known.update((w, self.former[w]) for w in again)
+        fresh = list(unseen - again)
         for i in range(0, len(fresh), 20_000):
             part = fresh[i : i + 20_000]
-            for w, e in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known.update(zip(part, [struct.pack(f"<{len(x)}I", *x) for x in self._new(part)], strict=True))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
