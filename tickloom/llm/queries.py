@@ -76,6 +76,20 @@ def op6_warc(spark, sf_dir):
     return warc.round_trip(spark, table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+#: Base32 of a SHA-1: each sign has five bits, which lie in two neighbouring hex digits.
+SQL["op6_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, payload, sha1(payload) || '0' AS x, min(page_id) OVER (PARTITION BY payload) AS f FROM p),
+d AS (SELECT *, list_transform(range(1, 42), lambda i: strpos('0123456789abcdef', substr(x, CAST(i AS BIGINT), 1)) - 1) AS n FROM h)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((n[1 + 5 * g // 4] * 16 + n[2 + 5 * g // 4]) >> (3 - (5 * g) % 4)) & 31), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> f THEN f END AS refers_to
+FROM d
+"""
+
+
 @query
 def op7_syncmers(spark, sf_dir):
     return syncmers.compare_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -89,6 +103,26 @@ def op8_chat(spark, sf_dir):
     return chat.read_back(chat.render_turns(turns))
 
 
+#: A text is written plainly, with its marks escaped, or with marks and backslashes escaped: the first that reads back.
+SQL["op8_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, CASE
+    WHEN NOT regexp_matches(text, '</turn>|### (?:[A-Za-z]+|-|=[A-Za-z0-9%_.~-]*): |\\(?:\\|### )') THEN 0
+    WHEN NOT regexp_matches(text, '\\(?:\\|</turn>|### )') THEN len(regexp_extract_all(text, '</turn>|### '))
+    ELSE len(regexp_extract_all(text, '\\|</turn>|### ')) END AS escapes
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ') + length(role) + length(': ') + length(text) + escapes + length('</turn>') + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 #: Fixed values: (host, path, verdict) of the rules.
 URL_RULES = [
     ("com", "/", "allow"),
