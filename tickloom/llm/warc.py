@@ -273,7 +273,9 @@ def look_up(wanted: DataFrame, index: Index, payloads: bool = True) -> DataFrame
                 yield batch_of(rows, kind)
 
     keyed = wanted.select("page_id", "url").mapInArrow(keys, "url_key string, page_id bigint").distinct()
-    return keyed.repartitionByRange("url_key", "page_id").sortWithinPartitions("url_key", "page_id").mapInArrow(run, RECORD)
+    # a number of its own: lookups are short rows that stand for long records, so their size says nothing about the work
+    parts = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartitionByRange(parts, "url_key", "page_id").sortWithinPartitions("url_key", "page_id").mapInArrow(run, RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:
