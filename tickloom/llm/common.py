@@ -68,6 +68,15 @@ def map_texts(
     return narrow.mapInArrow(run, schema)
 
 
+def hash_sample(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """The distinct rows whose hash of ``columns`` lies in the lowest share that holds about ``rows`` of them.
+
+    The share follows from a count, so no task sends more than its own few rows; all rows if there are not more.
+    """
+    share = min(1.0, rows / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written to the shared folder and read back, and its path for ``discard``."""
     path = scratch(df.sparkSession, name)

@@ -5,7 +5,7 @@ threshold at a time by information gain on two thirds of the rows, is pruned fro
 precise enough there, and the rows that it covers leave both parts before the next rule. Rules are conjunctions that reject; the list
 becomes one ordered conditional expression, whose last case keeps.
 
-At most ``sample_rows`` labelled rows (those of least hash of their id, so the same ones each time) come to the driver, as a few numbers
+About ``sample_rows`` labelled rows (those of least hash of their id, so the same ones each time) come to the driver, as a few numbers
 each; thresholds are tried at up to ``edges`` quantiles of a statistic. Statistics are computed of every whole text.
 
 Null text has no words. Labels that are null are left out. Without labels of both kinds the list is empty and keeps all. Repeated rows pass through unchanged.
@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import text_of
+from tickloom.llm.common import hash_sample, text_of
 
 #: White space between words, and the symbols that are counted.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -224,14 +224,9 @@ def fit(
     label_col: str = "quality",
     **settings,
 ) -> DecisionList:
-    """A list learned from ``labels`` (id, 1 good or 0 bad) of at most ``sample_rows`` rows."""
-    chosen = (
-        labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_good"))
-        .where("_id IS NOT NULL AND _good IS NOT NULL")
-        .distinct()
-        .orderBy(F.xxhash64("_id"), "_id", "_good")
-        .limit(sample_rows)
-    )
+    """A list learned from ``labels`` (id, 1 good or 0 bad) of about ``sample_rows`` rows."""
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_good"))
+    chosen = hash_sample(known.where("_id IS NOT NULL AND _good IS NOT NULL"), sample_rows, "_id")
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text"))
     rows = with_statistics(texts.join(F.broadcast(chosen), "_id")).select(
         "_good", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(3)) == 0).alias("_prune"), *[feature(k).alias(k) for k in FEATURES]

@@ -6,8 +6,8 @@ keys, a rule going to every part that its range touches, and each part is swept
 whose ranges are open. Among the open rules those fit whose path starts the url's path; the one with the most characters in host
 and path wins, of equal ones that with the longer host.
 
-Cuts are (key, hash of the id), so a key with any share of the rows is spread over parts. They come from the
-``SAMPLE`` rows of least hash, a fixed bound; cuts move work between tasks and never change a verdict.
+Cuts are (key, hash of the id), so a key with any share of the rows is spread over parts. They come from
+about ``SAMPLE`` rows of least hash, whatever the table holds; cuts move work between tasks and never change a verdict.
 
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z in lower case; the path goes on
 to ``?``, ``#`` or the end. Null urls and those without ``://`` have both empty, so only rules of the empty host and path could fit. Rules with a
@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import arrow_schema, batch_of
+from tickloom.llm.common import arrow_schema, batch_of, hash_sample
 
-#: Keys that the cuts are taken from.
+#: Keys that the cuts are taken from, about.
 SAMPLE = 4_096
 #: Parts for each shuffle partition.
 PARTS = 4
@@ -84,7 +84,7 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col: str
     parsed = with_host_and_path(urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")))
     keyed = parsed.select("id", "host", "path", F.concat(_key("host"), "path").alias("key"), F.xxhash64("id").alias("salt"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * PARTS
-    sample = sorted((r.key, r.salt) for r in keyed.orderBy(F.xxhash64("key", "salt")).limit(SAMPLE).select("key", "salt").collect())
+    sample = sorted((r.key, r.salt) for r in hash_sample(keyed.select("key", "salt"), SAMPLE, "key", "salt").collect())
     cuts = sorted({sample[i * len(sample) // parts] for i in range(1, parts)}) if sample else []
     names = [f.split()[0] for f in SWEPT.split(", ")]
     kind, judged = arrow_schema(SWEPT), arrow_schema(JUDGED)
