@@ -171,11 +171,12 @@ def _links(distinct: DataFrame, budget: int, chain: int) -> DataFrame:
         filed.groupBy("key").agg(F.count("*").alias("size"), F.max_by("fp", "n").alias("pivot")).where(F.col("size") > CROWD).select("key", "pivot"),
         "crowded",
     )
+    # merge joins by hint: Spark would judge the sides by the compressed files they come from and broadcast large ones
     x, y = F.col("x.fp"), F.col("y.fp")
     close = _in_budget(x, y, F.col("x.key"), budget, chain)
     n_crowded = crowded.count()
     if not n_crowded:
-        pairs = asks.alias("x").join(filed.alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & close)
+        pairs = asks.alias("x").join(filed.hint("merge").alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & close)
         return components(pairs.select(x.alias("a"), y.alias("b"))).withColumnRenamed("node", "fp")
     few = F.broadcast if n_crowded <= SENT else (lambda df: df)
     keys = few(crowded.select("key"))
@@ -186,7 +187,7 @@ def _links(distinct: DataFrame, budget: int, chain: int) -> DataFrame:
     filed = known.select("fp", "c", F.explode(_keys(budget, chain, near=False)).alias("key"))
     asks = known.select("fp", "c", F.explode(_keys(budget, chain, near=True)).alias("key"))
     apart = F.col("x.c") != F.col("y.c")
-    usual = asks.alias("x").join(filed.join(keys, "key", "left_anti").alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & apart & close)
+    usual = asks.alias("x").join(filed.join(keys, "key", "left_anti").hint("merge").alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & apart & close)
     # crowded buckets: all but the bucket's main component ask everyone, the main one asks the others
     full, full_path = stored(filed.join(keys, "key"), "crowd")
     main = full.groupBy("key", "c").count().groupBy("key").agg(F.max_by("c", "count").alias("main"))
