@@ -8,6 +8,8 @@ systems of equations (features squared) reach numpy inside tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -16,8 +18,10 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.frames import KEYS, ORDER, last_rows, series
 from tickloom.functions.ranks import quantiles
-from tickloom.session import ensure_checkpoints
+from tickloom.session import ensure_checkpoints, materialise
 
+#: Sums of the same rows differ by less, whatever their order.
+SETTLED = 1e-9
 ACCURACY_METRICS = ("accuracy", "precision", "recall", "f1")
 
 
@@ -196,7 +200,7 @@ def estimator(kind: str, classify: bool = False, **params):
         ("linear", False): lambda: g.LinearRegression(solver="normal", **params),
         ("ridge", False): lambda: g.LinearRegression(solver="normal", standardization=False, **params),
         ("random_forest", False): lambda: g.RandomForestRegressor(**{"numTrees": 100, "seed": 42, **params}),
-        ("boosted_trees", False): lambda: g.GBTRegressor(**{"maxIter": 20, "seed": 42, **params}),
+        ("boosted_trees", False): lambda: g.GBTRegressor(**{"maxIter": 100, "seed": 42, **params}),
         ("random_forest", True): lambda: c.RandomForestClassifier(**{"numTrees": 100, "seed": 42, **params}),
         ("logistic", True): lambda: c.LogisticRegression(**params),
     }
@@ -280,18 +284,21 @@ def sweep(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str
     return out.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
 
 
-def text_classifier(train: DataFrame, text: str, label: str, max_terms: int = 5_000):
-    """TF-IDF over one- and two-word terms with a logistic model; labels 0 and 1."""
+def text_classifier(train: DataFrame, text: str, label: str, cells: int = 1 << 16):
+    """TF-IDF over one- and two-word terms with a logistic model; labels 0, 1, ...
+
+    Every term counts: terms are hashed to ``cells`` places, so no vocabulary is gathered on the driver.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, StopWordsRemover, VectorAssembler
+    from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, StopWordsRemover, VectorAssembler
 
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_raw", pattern="[^\\p{L}]+"),
         StopWordsRemover(inputCol="_raw", outputCol="_words"),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
-        CountVectorizer(inputCol="_words", outputCol="_c1", vocabSize=max_terms, minDF=2.0),
-        CountVectorizer(inputCol="_pairs", outputCol="_c2", vocabSize=max_terms, minDF=2.0),
+        HashingTF(inputCol="_words", outputCol="_c1", numFeatures=cells),
+        HashingTF(inputCol="_pairs", outputCol="_c2", numFeatures=cells),
         VectorAssembler(inputCols=["_c1", "_c2"], outputCol="_c"),
         IDF(inputCol="_c", outputCol="features"),
         LogisticRegression(labelCol=label, featuresCol="features", regParam=0.01, maxIter=30),
@@ -299,19 +306,21 @@ def text_classifier(train: DataFrame, text: str, label: str, max_terms: int = 5_
     return Pipeline(stages=stages).fit(train)
 
 
-def text_scores(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Score 2p - 1 in [-1, 1]."""
+def text_scores(model, df: DataFrame, keys: Sequence[str], values: Sequence[float] = (-1.0, 1.0)) -> DataFrame:
+    """Expected value of the classes: the sum of probability times ``values`` (2p - 1 for two labels)."""
     from pyspark.ml.functions import vector_to_array
 
-    out = model.transform(df)
-    return out.select(*keys, (2 * vector_to_array("probability")[1] - 1).alias("score"))
+    p = vector_to_array("probability")
+    score = sum((p[i] * v for i, v in enumerate(values)), F.lit(0.0))
+    return model.transform(df).select(*keys, score.alias("score"))
 
 
-def importance_selection(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], k: int = 5, sample_rows: int = 1_000) -> DataFrame:
-    """Top ``k`` features of a 50-tree forest fitted on a hash-ordered sample of rows."""
-    need = df.dropna("any", subset=[*features, label])
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
-    sample = need.orderBy(F.md5(text)).limit(sample_rows)
+def importance_selection(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], k: int = 5, sample_rows: int | None = None) -> DataFrame:
+    """Top ``k`` features of a 50-tree forest fitted on all rows, or on the ``sample_rows`` of least hash if a number is given."""
+    sample = df.dropna("any", subset=[*features, label])
+    if sample_rows is not None:
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
+        sample = sample.orderBy(F.md5(text)).limit(sample_rows)
     model = estimator("random_forest", numTrees=50).fit(assemble(sample, features, label))
     return importances(model, features, df.sparkSession).orderBy(F.desc("importance"), "feature").limit(k)
 
@@ -323,7 +332,7 @@ def grouped_regimes(
     df: DataFrame,
     features: Sequence[str],
     n_regimes: int = 4,
-    rounds: int = 8,
+    max_rounds: int = 200,
     min_rows: int = 50,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
@@ -331,13 +340,15 @@ def grouped_regimes(
 
     Start: quantile groups of the first feature. A round joins the few centres of a key to
     its rows and averages again map-side; centres are checkpointed, rows are never gathered.
-    Labels are ordered by the first feature's centre.
+    Labels are ordered by the first feature's centre. Rounds go on until no centre moves; an error is raised if that
+    does not happen within ``max_rounds``.
     """
     ensure_checkpoints(df.sparkSession)
     keys = list(keys)
     rows = df.dropna("any", subset=list(features))
     enough = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
     z = standardise(rows.join(enough.select(*keys), keys, "left_semi"), features, keys)
+    z = materialise(z, "regime-rows")  # every round reads it
     first = features[0]
     names = [f"_q{i}" for i in range(1, n_regimes)]
     edges = quantiles(z, keys, first, [i / n_regimes for i in range(1, n_regimes)], names)
@@ -359,14 +370,19 @@ def grouped_regimes(
         return total
 
     table = centres(labelled)
-    for step in range(rounds):
+    for _ in range(max_rounds):
         near = F.array_min(
             F.transform("_centres", lambda c, i: F.struct(distance(c).alias("d"), i.alias("i")))
         )["i"]
         labelled = z.join(table, keys).withColumn("regime", near).drop("_centres")
-        if step < rounds - 1:
-            table = centres(labelled)
-    return labelled.withColumn("regime", F.col("regime").cast("int"))
+        nxt = centres(labelled)
+        apart = F.zip_with("_new", "_old", lambda a, b: reduce(or_, [F.abs(a[f] - b[f]) > SETTLED for f in features]))
+        pairs = nxt.withColumnRenamed("_centres", "_new").join(table.withColumnRenamed("_centres", "_old"), keys)
+        moved = pairs.where((F.size("_new") != F.size("_old")) | F.exists(apart, lambda x: x))
+        if moved.isEmpty():
+            return labelled.withColumn("regime", F.col("regime").cast("int"))
+        table = nxt
+    raise RuntimeError("regimes did not settle; raise max_rounds")
 
 
 def transition_matrix(df: DataFrame, state: str = "regime_id") -> DataFrame:
@@ -420,12 +436,13 @@ def merge_predictions(df: DataFrame, pred: DataFrame) -> DataFrame:
 
 
 def ensemble_predictions(pred: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weighted mean of the model predictions of each row."""
+    """Weighted mean of the model predictions of each row, for each training window where there are several."""
     w = F.col("weight")
+    keys = ["instrument", "date", *[c for c in ("training_window",) if c in pred.columns]]
     return (
         pred.join(weights, "model")
         .where("y_hat IS NOT NULL")
-        .groupBy("instrument", "date")
+        .groupBy(*keys)
         .agg(F.first("y").alias("y"), F.try_divide(F.sum(w * F.col("y_hat")), F.sum(w)).alias("y_hat"))
     )
 
@@ -458,15 +475,21 @@ def recent_performance(history: DataFrame, as_of: str, days: int) -> DataFrame:
     return history.where(F.col("date") >= start).groupBy("model", "metric").agg(F.avg("value").alias("value"))
 
 
-def switch_signal(history: DataFrame, as_of: str, metric: str, limit: float = 0.05) -> DataFrame:
-    """True where the 30-day mean fell more than ``limit`` below the 60-day mean."""
+def switch_signal(
+    history: DataFrame, as_of: str, metric: str, limit: float = 0.05, any_fall: bool = False
+) -> DataFrame:
+    """True where the 30-day mean is worse than the 60-day mean by more than ``limit``: lower for accuracies, higher for losses.
+
+    ``any_fall`` takes a fall as worse for every metric.
+    """
+    sign = 1 if any_fall or metric in ACCURACY_METRICS else -1
     recent = recent_performance(history, as_of, 30).where(F.col("metric") == metric)
     longer = recent_performance(history, as_of, 60).where(F.col("metric") == metric)
     a, b = F.coalesce("recent", F.lit(0.0)), F.col("historical")
     return (
         longer.select("model", F.col("value").alias("historical"))
         .join(recent.select("model", F.col("value").alias("recent")), "model", "left")
-        .withColumn("should_switch", F.coalesce((b > 0) & ((b - a) / b > limit), F.lit(False)))
+        .withColumn("should_switch", F.coalesce((b > 0) & (sign * (b - a) / b > limit), F.lit(False)))
     )
 
 

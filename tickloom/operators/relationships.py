@@ -91,43 +91,47 @@ def cross_correlations(
     return pr.pair_statistics(series, _KERNELS[method], "n long, rho double")
 
 
-def _normal_p(t: Column, dof: Column) -> Column:
-    """Two-sided p for many degrees of freedom: normal tail of the adjusted statistic."""
-    z = F.abs(t) * (1 - 1 / (4 * dof)) / F.sqrt(1 + t * t / (2 * dof))
-    x = z / math.sqrt(2)
-    k = 1 / (1 + 0.3275911 * x)
-    # coefficients of the published polynomial for erfc: fixed values
-    poly = F.lit(0.0)
-    for c in (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592):
-        poly = (poly + c) * k
-    return poly * F.exp(-x * x)
-
-
-def student_p_value(t: Column, dof: Column, series_up_to: int = 1_000) -> Column:
-    """Two-sided p of Student's t for integer degrees of freedom.
-
-    The finite series is exact; beyond ``series_up_to`` degrees the normal tail is used.
+#: Terms of the beta series, and the square of t from which only the far tail's series is used.
+_TERMS, _FAR = 200, 80.0
+#: Steps by which the gamma ratio is raised before its asymptotic series applies.
+_RAISED = 10
+
+
+def _log_gamma_ratio(a: Column) -> Column:
+    """ln(gamma(a + 1/2) / gamma(a)) for a >= 1/2."""
+    z = a + _RAISED
+    # published asymptotic series of the ratio: fixed values
+    series = F.log(z) / 2 - 1 / (8 * z) + 1 / (192 * F.pow(z, 3)) - 1 / (640 * F.pow(z, 5)) + 17 / (14336 * F.pow(z, 7))
+    for k in range(_RAISED):
+        series = series + F.log((a + k) / (a + k + 0.5))
+    return series
+
+
+def student_p_value(t: Column, dof: Column) -> Column:
+    """Two-sided p of Student's t: the incomplete beta function I_x(dof / 2, 1 / 2), x = dof / (dof + t^2).
+
+    One formula for every number of degrees: the hypergeometric series of the function or of its complement with
+    a fixed number of terms, whichever side converges. The absolute error is below 1e-9.
     """
-    theta = F.atan(F.abs(t) / F.sqrt(dof))
-    c2 = F.pow(F.cos(theta), 2)
-    odd = dof % 2 == 1
-    terms = F.when(odd, (dof - 1) / 2).otherwise(dof / 2).cast("int")
-    init = F.struct(F.lit(0.0).alias("sum"), F.lit(1.0).alias("term"))
-    steps = F.when((terms >= 1) & (dof <= series_up_to), F.sequence(F.lit(1), terms))
+    a, t2 = dof.cast("double") / 2, t * t
+    x, y = dof / (dof + t2), t2 / (dof + t2)
+    near = t2 <= F.least(dof.cast("double"), F.lit(_FAR))
+    # complement: c = 1/2 and z = y; else c = a and z = x. Term n + 1 is term n times z (a + 1/2 + n) / (c + 1 + n).
+    c, z = F.when(near, 0.5).otherwise(a), F.when(near, y).otherwise(x)
+    given = F.struct((a + 0.5).alias("s"), (c + 1).alias("c"), z.alias("z"))
     series = F.aggregate(
-        steps,
-        init,
-        lambda acc, k: F.struct(
+        F.sequence(F.lit(0), F.lit(_TERMS - 1)),
+        F.struct(F.lit(0.0).alias("sum"), F.lit(1.0).alias("term"), given.alias("g")),
+        lambda acc, n: F.struct(
             (acc["sum"] + acc["term"]).alias("sum"),
-            (acc["term"] * c2 * F.when(odd, 2 * k / (2 * k + 1)).otherwise((2 * k - 1) / (2 * k))).alias("term"),
+            (acc["term"] * acc["g"]["z"] * (acc["g"]["s"] + n) / (acc["g"]["c"] + n)).alias("term"),
+            acc["g"].alias("g"),
         ),
         lambda acc: acc["sum"],
     )
-    total = F.coalesce(series, F.lit(0.0))
-    area = F.when(odd, (2 / math.pi) * (theta + F.sin(theta) * F.cos(theta) * total)).otherwise(
-        F.sin(theta) * total
-    )
-    return F.when(dof <= series_up_to, F.greatest(F.lit(0.0), 1 - area)).otherwise(_normal_p(t, dof))
+    front = F.exp(a * F.log(x) + F.log(y) / 2 + _log_gamma_ratio(a)) / (math.sqrt(math.pi) * c)
+    area = F.when(t2 == 0, 0.0).otherwise(front * series)
+    return F.greatest(F.lit(0.0), F.when(near, 1 - area).otherwise(area))
 
 
 def significance(edges: DataFrame) -> DataFrame:
@@ -331,23 +335,29 @@ def distance_clusters(nodes: DataFrame, edges: DataFrame, limit: float = 0.7, ma
     return labels.select(F.col("node").alias("instrument"), F.col("label").alias("cluster"))
 
 
-def fixed_clusters(edges: DataFrame, k: int = 8, dimensions: int = 64, seed: int = 7) -> DataFrame:
-    """``k`` clusters of the correlation rows by bisecting k-means.
+def fixed_clusters(edges: DataFrame, k: int = 8, anchors: int = 64, seed: int = 7) -> DataFrame:
+    """``k`` clusters by bisecting k-means; an instrument's coordinates are its correlations to the anchors.
 
-    A row of the N x N matrix is hashed to ``dimensions`` entries, so a feature vector stays
-    bounded for any number of instruments.
+    Anchors are the ``anchors`` instruments of least hash, so a feature vector stays bounded for any number of
+    instruments and every coordinate is one correlation (1 to itself, 0 without an edge).
     """
     from pyspark.ml.clustering import BisectingKMeans
     from pyspark.ml.functions import array_to_vector
 
-    cell = F.pmod(F.xxhash64("dst"), F.lit(dimensions)).cast("int")
-    sign = F.when(F.pmod(F.xxhash64("dst", F.lit(1)), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    long = both_ways(edges, "rho").groupBy("src", cell.alias("_c")).agg(F.sum(F.col("rho") * sign).alias("_v"))
-    at = F.map_from_entries(F.collect_list(F.struct("_c", "_v")))
-    rows = long.groupBy("src").agg(at.alias("_m")).select(
+    pairs = both_ways(edges, "rho")
+    nodes = pairs.select(F.col("src").alias("dst")).distinct()
+    marks = nodes.orderBy(F.xxhash64("dst"), "dst").limit(anchors)
+    places = Window.orderBy(F.xxhash64("dst"), "dst")  # of the few anchors only
+    marks = marks.withColumn("_c", F.row_number().over(places) - 1)
+    own = marks.select(F.col("dst").alias("src"), "dst", F.lit(1.0).alias("rho"))
+    met = pairs.select("src", "dst", "rho").unionByName(own).join(F.broadcast(marks), "dst")
+    at = F.map_from_entries(F.collect_list(F.struct("_c", "rho")))
+    known = met.groupBy("src").agg(at.alias("_m"))
+    every = nodes.withColumnRenamed("dst", "src").join(known, "src", "left")
+    rows = every.select(
         F.col("src").alias("instrument"),
         array_to_vector(
-            F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
+            F.transform(F.sequence(F.lit(0), F.lit(anchors - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
         ).alias("features"),
     )
     model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(rows)

@@ -42,7 +42,7 @@ def _market(spark, sf) -> Lake:
             (F.col("high") - F.col("low")).alias("vwap"),
         )
         e = v.table(spark, sf, "events")
-        order = F.struct("ts", "event_id")
+        order = v.event_order()
         hourly = (
             e.groupBy(F.col("event_type").alias("symbol"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("date"))
             .agg(

@@ -227,13 +227,13 @@ register(
     "ML-15",
     with_ctes(
         _B,
-        f"""SELECT instrument, date, {r('any_value(y)', 'y', 6)}, {r("sum(w * y_hat) / sum(w)", 'y_hat', 6)}
-        FROM (SELECT *, CASE model WHEN 'line' THEN 1.0 WHEN 'mean' THEN 2.0 ELSE 0.5 END AS w FROM bt WHERE training_window = 20) GROUP BY 1, 2""",
+        f"""SELECT instrument, date, {r('any_value(y)', 'y', 6)}, {r("sum(w * y_hat) / sum(w)", 'y_hat', 6)}, training_window
+        FROM (SELECT *, CASE model WHEN 'line' THEN 1.0 WHEN 'mean' THEN 2.0 ELSE 0.5 END AS w FROM bt) GROUP BY instrument, date, training_window""",
     ),
 )
 def _ensemble(s, sf):
     weights = s.createDataFrame([("line", 1.0), ("mean", 2.0), ("last", 0.5)], "model string, weight double")
-    return rounded(m.ensemble_predictions(_backtest(s, sf).where("training_window = 20"), weights), 6)
+    return rounded(m.ensemble_predictions(_backtest(s, sf), weights), 6)
 
 
 _AS_OF = "2001-11-01"
@@ -257,7 +257,7 @@ register(
     lambda s, sf: rounded(m.switch_signal(_history(s, sf), _AS_OF, "mae"), 5),
     with_ctes(
         [*_B, _HIST, f"sw AS (SELECT model, avg(value) AS b, avg(value) FILTER (date >= DATE '{_AS_OF}' - 30) AS a FROM hs WHERE date >= DATE '{_AS_OF}' - 60 GROUP BY 1)"],
-        f"SELECT model, {r('b', 'historical', 5)}, {r('a', 'recent', 5)}, b > 0 AND (b - a) / b > 0.05 AS should_switch FROM sw",
+        f"SELECT model, {r('b', 'historical', 5)}, {r('a', 'recent', 5)}, b > 0 AND (a - b) / b > 0.05 AS should_switch FROM sw",
     ),
 )
 _METRICS = {
@@ -307,7 +307,8 @@ def _importance(s, sf):
 # ---- regimes by clustering: the rounds are unrolled in SQL -------------------------------------------
 
 _RF = ("vol_cc_20d", "return_5d", "log_volume")
-_ROUNDS = 3
+#: Rounds unrolled in SQL: more than it takes until no centre moves; further rounds change nothing.
+_ROUNDS = 150
 _Z = f"""
 rz AS (SELECT instrument, date, {', '.join(f'({c} - avg({c}) OVER p) / stddev_pop({c}) OVER p AS {c}' for c in _RF)} FROM mf
   WHERE vol_cc_20d IS NOT NULL AND return_5d IS NOT NULL WINDOW p AS (PARTITION BY instrument)),
@@ -325,7 +326,7 @@ g{i} AS (SELECT z.instrument, z.date, {', '.join(f'z.{c}' for c in _RF)}, arg_mi
 register(
     "clustered_regimes",
     "ML-4",
-    lambda s, sf: m.grouped_regimes(_data(s, sf), _RF, rounds=_ROUNDS).select("instrument", "date", "regime"),
+    lambda s, sf: m.grouped_regimes(_data(s, sf), _RF).select("instrument", "date", "regime"),
     with_ctes([*_BASE, _Z, *[_round(i) for i in range(1, _ROUNDS + 1)]], f"SELECT instrument, date, CAST(g AS INTEGER) AS regime FROM g{_ROUNDS}"),
 )
 
@@ -333,9 +334,9 @@ register(
 
 _KEY = ["instrument", "date"]
 register("kmeans_clusters", "ML-2", lambda s, sf: rounded(m.kmeans(_data(s, sf), _ALL, 4)[1]))
-register("gaussian_mixture", "ML-3", lambda s, sf: rounded(m.gaussian_mixture(_data(s, sf), _ALL[:3], 3)[1]))
-register("random_forest", "ML-8", lambda s, sf: rounded(m.split_metrics(m.fit_and_predict(_data(s, sf), _ALL, "y", "random_forest", _KEY, numTrees=20)[1])))
-register("boosted_trees", "ML-9", lambda s, sf: rounded(m.split_metrics(m.fit_and_predict(_data(s, sf), _ALL, "y", "boosted_trees", _KEY, maxIter=10)[1])))
+register("gaussian_mixture", "ML-3", lambda s, sf: rounded(m.gaussian_mixture(_data(s, sf), _ALL, 3)[1]))
+register("random_forest", "ML-8", lambda s, sf: rounded(m.split_metrics(m.fit_and_predict(_data(s, sf), _ALL, "y", "random_forest", _KEY)[1])))
+register("boosted_trees", "ML-9", lambda s, sf: rounded(m.split_metrics(m.fit_and_predict(_data(s, sf), _ALL, "y", "boosted_trees", _KEY)[1])))
 
 
 def _logistic(s, sf):

@@ -81,8 +81,9 @@ register(
         JOIN (SELECT instrument_i, instrument_j, count(*) AS n FROM pairs GROUP BY 1, 2) c ON c.instrument_i = a.instrument_i AND c.instrument_j = a.instrument_j GROUP BY 1, 2""",
     ),
 )
-_PV = """
-ed AS (SELECT instrument_i, instrument_j, count(*) AS n, corr(x, y) AS rho FROM pairs GROUP BY 1, 2),
+_EDGE = "ed AS (SELECT instrument_i, instrument_j, count(*) AS n, corr(x, y) AS rho FROM pairs GROUP BY 1, 2)"
+#: From ``ed`` (n, rho) to two-sided p, by the finite series for whole degrees of freedom.
+P_VALUES = """
 ts AS (SELECT *, n - 2 AS dof, rho * sqrt((n - 2) / (1 - rho * rho)) AS t FROM ed),
 th AS (SELECT *, atan(abs(t) / sqrt(dof)) AS a FROM ts),
 pv AS (SELECT *, CASE WHEN dof % 2 = 0 THEN 1 - sin(a) * (SELECT sum(exp(lgamma(k + 0.5) - lgamma(k + 1.0)) / sqrt(pi()) * pow(cos(a), 2 * k)) FROM (SELECT unnest(generate_series(0, dof // 2 - 1)) AS k))
@@ -97,7 +98,7 @@ register(
         5,
     ),
     with_ctes(
-        [*_BASE, _last(60), _pairs(), _PV],
+        [*_BASE, _last(60), _pairs(), _EDGE, P_VALUES],
         f"SELECT instrument_i, instrument_j, n, {r('t', 't_stat', 5)}, {r('greatest(p, 0)', 'p_value', 5)} FROM pv",
     ),
 )

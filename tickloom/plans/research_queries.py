@@ -29,26 +29,28 @@ _G = "PARTITION BY instrument, feature ORDER BY date"
 register(
     "information_coefficient",
     "DOC-1",
-    lambda s, sf: rounded(rs.information_coefficient(mq._data(s, sf), _F, "y").drop("p_value"), 5),
+    lambda s, sf: rounded(rs.information_coefficient(mq._data(s, sf), _F, "y"), 5),
     with_ctes(
         [
             *_BASE,
             _LNG,
             """rk AS (SELECT feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS rx,
               rank() OVER (PARTITION BY feature ORDER BY y) + (count(*) OVER (PARTITION BY feature, y) - 1) / 2.0 AS ry FROM lng WHERE value IS NOT NULL AND y IS NOT NULL)""",
+            "ed AS (SELECT feature, count(*) AS n, corr(rx, ry) AS rho FROM rk GROUP BY 1)",
+            rq.P_VALUES,
         ],
-        f"SELECT feature, count(*) AS n, {r('abs(corr(rx, ry))', 'ic', 5)} FROM rk GROUP BY 1",
+        f"SELECT feature, n, {r('abs(rho)', 'ic', 5)}, {r('greatest(p, 0)', 'p_value', 5)} FROM pv",
     ),
 )
 register(
     "feature_stability",
     "DOC-2",
-    lambda s, sf: rounded(rs.feature_stability(mq._data(s, sf), _F[:2]), 5),
+    lambda s, sf: rounded(rs.feature_stability(mq._data(s, sf), _F), 5),
     with_ctes(
         [
             *_BASE,
             _LNG,
-            f"lb AS (SELECT *, row_number() OVER ({_G}) - 1 AS i, count(*) OVER (PARTITION BY instrument, feature) AS len, lag(value, 252) OVER ({_G}) AS b FROM lng WHERE feature IN ('{_F[0]}', '{_F[1]}'))",
+            f"lb AS (SELECT *, row_number() OVER ({_G}) - 1 AS i, count(*) OVER (PARTITION BY instrument, feature) AS len, lag(value, 252) OVER ({_G}) AS b FROM lng )",
             f"cc AS (SELECT *, CASE WHEN count(value) OVER f > 50 AND count(b) OVER f > 50 THEN corr(b, value) OVER f END AS c FROM lb WINDOW f AS ({_G} ROWS BETWEEN 251 PRECEDING AND CURRENT ROW))",
         ],
         f"SELECT instrument, feature, count(*) AS windows, {r('avg(c)', 'stability', 5)} FROM cc WHERE c IS NOT NULL AND i >= 503 AND (i - 503) % 21 = 0 AND i - 503 < len - 504 GROUP BY 1, 2",
@@ -145,20 +147,20 @@ ph AS (SELECT instrument, date, feature, CAST((i - 251) / 21 + 1 AS INTEGER) AS
 register(
     "performance_history",
     "DOC-7",
-    lambda s, sf: rounded(rs.performance_history(mq._data(s, sf), _F[:2], "y"), 5),
-    with_ctes([*_BASE, _LNG, _PH], f"SELECT instrument, date, feature, period, {r('correlation', 'correlation', 5)} FROM ph WHERE feature IN ('{_F[0]}', '{_F[1]}')"),
+    lambda s, sf: rounded(rs.performance_history(mq._data(s, sf), _F, "y"), 5),
+    with_ctes([*_BASE, _LNG, _PH], f"SELECT instrument, date, feature, period, {r('correlation', 'correlation', 5)} FROM ph "),
 )
 register(
     "feature_decay",
     "DOC-7",
-    lambda s, sf: rounded(rs.feature_decay(rs.performance_history(mq._data(s, sf), _F[:2], "y")), 4),
+    lambda s, sf: rounded(rs.feature_decay(rs.performance_history(mq._data(s, sf), _F, "y")), 4),
     with_ctes(
         [
             *_BASE,
             _LNG,
             _PH,
             f"""dc AS (SELECT instrument, feature, avg(correlation) FILTER (period > l - 4) AS rec, avg(correlation) FILTER (period <= l - 4) AS his FROM
-              (SELECT *, max(period) OVER (PARTITION BY instrument, feature) AS l FROM ph WHERE feature IN ('{_F[0]}', '{_F[1]}')) GROUP BY 1, 2 HAVING count(*) >= 4)""",
+              (SELECT *, max(period) OVER (PARTITION BY instrument, feature) AS l FROM ph ) GROUP BY 1, 2 HAVING count(*) >= 4)""",
         ],
         f"SELECT instrument, feature, {r('rec', 'recent', 4)}, {r('his', 'historical', 4)}, {r('(his - rec) / his', 'decay_rate', 4)}, coalesce((his - rec) / his > 0.1, false) AS decaying FROM dc",
     ),
@@ -394,12 +396,12 @@ _DT = "1998-12-31"
 register(
     "feature_drift",
     "DOC-23",
-    lambda s, sf: rounded(rs.feature_drift(mq._data(s, sf), _F[:2], _DT), 5),
+    lambda s, sf: rounded(rs.feature_drift(mq._data(s, sf), _F, _DT), 5),
     with_ctes(
         [
             *_BASE,
             _LNG,
-            f"""l2 AS (SELECT * FROM lng WHERE feature IN ('{_F[0]}', '{_F[1]}')),
+            f"""l2 AS (SELECT * FROM lng ),
             s1 AS (SELECT instrument, feature, avg(value) AS m, stddev_samp(value) AS s, quantile_cont(value, 0.5) AS med FROM l2 WHERE date <= DATE '{_DT}' GROUP BY 1, 2),
             s2 AS (SELECT instrument, feature, quantile_cont(abs(value - med), 0.5) AS mad FROM l2 JOIN s1 USING (instrument, feature) WHERE date <= DATE '{_DT}' AND value IS NOT NULL GROUP BY 1, 2),
             rm AS (SELECT instrument, feature, date, CASE WHEN count(value) OVER f = 60 THEN avg(value) OVER f END AS rm FROM l2 WINDOW f AS ({_G} ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators import technical as t
@@ -46,7 +47,7 @@ register(
 def _full_chain(s, sf):
     """Hygiene through targets on every type's daily bars."""
     out = st.run_stages(
-        v.bars(s, sf), ["hygiene", "base_features", "cross_section", "season", "regimes", "targets"], {"hygiene": {"min_volume": 1}, "cross_section": {"beta_windows": (60,)}, "targets": {"horizons": (5,)}}
+        v.bars(s, sf), ["hygiene", "base_features", "cross_section", "season", "regimes", "targets"], {"hygiene": {"min_volume": 1}}
     )
     return rounded(
         out.select(
@@ -57,3 +58,27 @@ def _full_chain(s, sf):
 
 
 register("full_stage_chain", "UDF-1", _full_chain)
+
+
+def _peer_chain(s, sf):
+    """Returns, peers, their features, news and an out-of-fold prediction on weekly bars of every brand."""
+    from tickloom.plans import news_queries as nq
+
+    news = nq._scored(s, sf)
+    bars = t.returns(v.bars(s, sf, "brand", "week")).withColumn("next_return", F.lead("log_return").over(Window.partitionBy("instrument").orderBy("date")))
+    out = st.run_stages(
+        bars,
+        ["relationships", "target_features", "news_sentiment", "training"],
+        {
+            "relationships": {"min_abs": 0.1},
+            "target_features": {"min_abs": 0.1, "momentum": (5,)},
+            "news_sentiment": {"news": news},
+            "training": {"features": ["log_return", "volume"], "label": "next_return"},
+        },
+    )
+    return rounded(
+        out.select("instrument", "date", "n_peers", "peer_correlation", "avg_peer_momentum_5d", "momentum_vs_peers_5d", "sentiment_mean", "prediction"), 5
+    )
+
+
+register("peer_stage_chain", "UDF-1", _peer_chain)

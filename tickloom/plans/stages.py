@@ -11,9 +11,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickloom.operators import cross_section as x
 from tickloom.operators import hygiene as h
+from tickloom.operators import models as ml
+from tickloom.operators import news as nw
+from tickloom.operators import peers as pe
+from tickloom.operators import relationships as rel
 from tickloom.operators import season as z
 from tickloom.operators import targets as tg
 from tickloom.operators import technical as t
@@ -98,10 +103,12 @@ def season(df: DataFrame) -> DataFrame:
 
 
 @stage("regimes", ("instrument", "date", "vol_cc_20d", "return_21d"))
-def regimes(df: DataFrame, n_regimes: int = z.N_REGIMES) -> DataFrame:
+def regimes(df: DataFrame, n_regimes: int = z.N_REGIMES, windows: Sequence[int] = (60, 126, 252)) -> DataFrame:
     df = z.majority_filter(z.quantile_regimes(df, "vol_cc_20d", n_regimes))
     df = z.regime_persistence(z.regime_flags(df, n_regimes))
-    df = z.volatility_class(z.rolling_percent_rank(df, "vol_cc_20d", (60,)), "vol_regime_60d")
+    df = z.rolling_percent_rank(df, "vol_cc_20d", windows)
+    for n in windows:
+        df = z.volatility_class(df, f"vol_regime_{n}d")
     return z.trend_class(df)
 
 
@@ -109,3 +116,47 @@ def regimes(df: DataFrame, n_regimes: int = z.N_REGIMES) -> DataFrame:
 def targets(df: DataFrame, horizons: Sequence[int] = tg.HORIZONS) -> DataFrame:
     df = tg.forward_volatility(tg.forward_returns(df, horizons))
     return tg.quantile_labels(tg.direction_labels(df, horizons), horizons)
+
+
+def _peers(df: DataFrame, window: int, min_abs: float) -> DataFrame:
+    return rel.peer_map(rel.correlations(df, window=window, min_abs=min_abs), min_abs=min_abs)
+
+
+@stage("relationships", ("instrument", "date", "log_return"))
+def relationships(df: DataFrame, window: int = 126, min_abs: float = rel.MIN_CORRELATION) -> DataFrame:
+    """Number of peers of each instrument and their mean absolute correlation; 0 and NULL without any."""
+    peers = _peers(df, window, min_abs).groupBy("instrument").agg(
+        F.count(F.lit(1)).alias("n_peers"), F.avg("weight").alias("peer_correlation")
+    )
+    return df.join(peers, "instrument", "left").withColumn("n_peers", F.coalesce("n_peers", F.lit(0)))
+
+
+@stage("target_features", ("instrument", "date", "log_return"))
+def target_features(
+    df: DataFrame, window: int = 126, min_abs: float = rel.MIN_CORRELATION, momentum: Sequence[int] = pe.MOMENTUM_WINDOWS
+) -> DataFrame:
+    """Mean momentum of the peers of each instrument over several windows, and the gap to its own."""
+    peers = _peers(df, window, min_abs).select(F.col("instrument").alias("target"), "peer")
+    long = pe.average_peer_momentum(pe.momentum_gaps(pe.calendar(df), peers, momentum))
+    wide = long.groupBy("target", "date").agg(
+        *[
+            F.max(F.when(F.col("window") == n, F.col(c))).alias(f"{c}_{n}d")
+            for n in momentum
+            for c in ("avg_peer_momentum", "momentum_vs_peers")
+        ]
+    )
+    return pe.merge_target_features(df, wide)
+
+
+@stage("news_sentiment", ("instrument", "date"))
+def news_sentiment(df: DataFrame, news: DataFrame, windows: Sequence[int] = (3, 7, 14, 30), **options) -> DataFrame:
+    """Daily sentiment of ``news`` and its averages beside every row; NULL on days without articles."""
+    daily = nw.sentiment_averages(nw.daily_sentiment(news, **options), windows)
+    return df.join(daily, ["instrument", "date"], "left")
+
+
+@stage("training", ("instrument", "date"))
+def training(df: DataFrame, features: Sequence[str], label: str, folds: int = 5, alpha: float = 1.0) -> DataFrame:
+    """Out-of-fold ridge prediction of ``label`` per instrument, trained on earlier folds only."""
+    pred = ml.grouped_ridge_cv(df, features, label, k=folds, alpha=alpha)
+    return df.join(pred.select("instrument", "date", F.col("y_hat").alias("prediction")), ["instrument", "date"], "left")

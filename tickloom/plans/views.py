@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +22,23 @@ _SQL_INSTRUMENT = {
 _FINE = "l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity"
 
 
+def line_order() -> Column:
+    """Order of raw lines (order, line, part, price in cents, quantity) as one number of fixed width.
+
+    ``min_by`` over a struct has no fixed-width buffer and would sort every raw line; over a number it is hashed.
+    """
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    high = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).cast("decimal(17,0)")
+    low = (F.col("l_partkey") * 1_000_000_000 + cents).cast("decimal(18,0)")
+    return high * F.lit(Decimal(10**21)) + (low * F.lit(Decimal(1000)) + F.col("l_quantity").cast("decimal(3,0)"))
+
+
+def event_order(time: str = "ts", tie: str = "event_id") -> Column:
+    """Order of events as one number: microseconds, then the id."""
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(19,0)")
+    return micros * F.lit(Decimal(10**18)) + F.col(tie).cast("decimal(18,0)")
+
+
 def bars(spark: SparkSession, sf: str, by: str = "type", freq: str = "day") -> DataFrame:
     """Daily or weekly bars; one map-side combined aggregation, no sort of raw lines."""
     lines = table(spark, sf, "lineitem")
@@ -31,10 +50,9 @@ def bars(spark: SparkSession, sf: str, by: str = "type", freq: str = "day") -> D
     day = F.col("l_shipdate").cast("date")
     if freq == "week":
         day = F.date_trunc("week", day).cast("date")
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return (
-        lines.select("instrument", day.alias("date"), order.alias("o"), price.alias("p"), "l_quantity")
+        lines.select("instrument", day.alias("date"), line_order().alias("o"), price.alias("p"), "l_quantity")
         .groupBy("instrument", "date")
         .agg(
             F.min_by("p", "o").alias("open"),
@@ -121,7 +139,7 @@ ev AS (
 def event_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Daily bars of every user, priced by event value."""
     e = table(spark, sf, "events")
-    order = F.struct("ts", "event_id")
+    order = event_order()
     return (
         e.groupBy(F.col("user_id").cast("string").alias("instrument"), F.col("ts").cast("date").alias("date"))
         .agg(

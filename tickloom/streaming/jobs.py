@@ -8,6 +8,7 @@ passes through the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 from typing import Any
 
 import pandas as pd
@@ -65,7 +66,9 @@ def bars(
     stream: DataFrame, interval: str = "5min", late: str = "10 minutes", time: str = "ts", tie: str = "event_id"
 ) -> DataFrame:
     """Tumbling bars of (instrument, price, size) ticks; partial aggregation splits hot keys."""
-    order = F.struct(time, tie)
+    # one number of fixed width, so that the partial aggregate is hashed, not sorted
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(19,0)")
+    order = micros * F.lit(Decimal(10**18)) + F.col(tie).cast("decimal(18,0)")
     return (
         stream.withWatermark(time, late)
         .groupBy("instrument", F.window(time, INTERVALS[interval]).alias("w"))
@@ -97,6 +100,11 @@ def daily_sentiment(stream: DataFrame, late: str = "1 day", time: str = "ts") ->
     )
 
 
+def _days(window: str) -> Column:
+    """Length of a window column in days."""
+    return (F.unix_timestamp(F.col(window)["end"]) - F.unix_timestamp(F.col(window)["start"])) / 86_400
+
+
 def article_shock(
     stream: DataFrame, length: str = "7 days", step: str = "1 day", late: str = "1 day", time: str = "ts", per_day: float = 5.0
 ) -> DataFrame:
@@ -110,7 +118,7 @@ def article_shock(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             "article_count",
-            F.least(F.col("article_count") / (7 * per_day), F.lit(2.0)).alias("news_shock"),
+            F.least(F.col("article_count") / (_days("w") * per_day), F.lit(2.0)).alias("news_shock"),
         )
     )
 
