@@ -14,7 +14,7 @@ from tickloom.plans import REGISTRY
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["close_volatility", "latest_volatility_leaders"])
+@pytest.mark.parametrize("name", ["close_volatility"])
 def test_bars_are_hashed_not_sorted(spark, name):
     plan = REGISTRY[name].build(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
