@@ -232,6 +232,18 @@ def test_anchors_do_not_depend_on_context(docs):
     assert a == b and len(a) > 15
 
 
+def test_all_anchors_of_long_texts_count(docs):
+    r = random.Random(5)
+    first, second, third = (prose(r, 3_000, 50_000) for _ in range(3))
+    a, b, c = f"{first} {second}", f"{first} {third}", f"{first} {second} {prose(r, 40, 50_000)}"
+    rows = {x.id: x for x in syncmers.compare_edits(docs([a, c, b], [3, 2, 1])).collect()}
+    sets = {i: {x.fingerprint[j : j + 8] for j in range(0, len(x.fingerprint), 8)} for i, x in rows.items()}
+    assert all(len(s) > 2_000 for s in sets.values())
+    assert sets[3] != sets[2]
+    for i, j in ((3, 2), (2, 1), (1, 3)):
+        assert rows[i].near_next == pytest.approx(len(sets[i] & sets[j]) / len(sets[i] | sets[j]))
+
+
 @pytest.mark.parametrize("partitions", ["1", "3"])
 def test_edits_follow_falling_ids(spark, docs, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)

@@ -2,10 +2,9 @@
 
 A text is read as pieces of at most ``PIECE`` characters between ASCII white space. Of every k consecutive pieces all runs of s pieces
 are hashed; the k-mer is an anchor if its least inner hash lies at either edge. Whether a k-mer is an anchor depends on
-nothing but itself, so an edit changes only the anchors that touch it. The fingerprint is the sorted list of the ``size`` least of the
+nothing but itself, so an edit changes only the anchors that touch it. The fingerprint is the sorted list of all the distinct
 anchors' 32-bit hashes, eight hex digits each; texts with fewer pieces than k have all their pieces as the one anchor. The likeness
-of two fingerprints is the share of common values among the least ``size`` of both, an estimate of the Jaccard
-similarity of the anchors (exact while both have at most ``size``). Two empty fingerprints are alike.
+of two fingerprints is the Jaccard similarity of these sets. Two empty fingerprints are alike. ``anchors`` gives the places too.
 
 Only DataFrame functions are used. Null text counts as empty (fingerprint empty).
 """
@@ -54,14 +53,14 @@ def anchors(df: DataFrame, k: int = 5, s: int = 2, id_col: str = "doc_id", text_
     return placed.select("id", "_h", F.explode("_at").alias("position")).select("id", "position", _kmer(F.col("position"), k).alias("hash"))
 
 
-def with_sketch(df: DataFrame, text_col: str, out: str, k: int = 5, s: int = 2, size: int = 64) -> DataFrame:
-    """Adds the sorted array of the ``size`` least 32-bit anchor hashes of a text column without nulls."""
+def with_sketch(df: DataFrame, text_col: str, out: str, k: int = 5, s: int = 2) -> DataFrame:
+    """Adds the sorted array of all distinct 32-bit anchor hashes of a text column without nulls."""
     if not 1 <= s < k - 1:
         raise ValueError("k must exceed s by two at least")
     placed = _with_anchor_places(df, text_col, k, s)
     short = F.when(F.size("_h") == 0, F.array().cast("array<int>")).otherwise(F.array(_short(F.xxhash64("_h"))))
-    least = F.slice(F.sort_array(F.array_distinct(F.transform("_at", lambda i: _short(_kmer(i, k))))), 1, size)
-    return placed.withColumn(out, F.when(F.size("_h") < k, short).otherwise(least)).drop("_h", "_at")
+    every = F.sort_array(F.array_distinct(F.transform("_at", lambda i: _short(_kmer(i, k)))))
+    return placed.withColumn(out, F.when(F.size("_h") < k, short).otherwise(every)).drop("_h", "_at")
 
 
 def said(sketch: str) -> Column:
@@ -69,11 +68,11 @@ def said(sketch: str) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(x.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
 
 
-def likeness(a: str, b: str, size: int = 64) -> Column:
-    """Estimated Jaccard similarity of two sketches, 0 to 1."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
-    common = F.array_intersect(F.array_intersect(F.col(a), F.col(b)), union)
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.size(common) / F.greatest(F.size(union), F.lit(1)))
+def likeness(a: str, b: str) -> Column:
+    """Jaccard similarity of two sketches, 0 to 1."""
+    common = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - common
+    return F.when(union == 0, 1.0).otherwise(common / F.greatest(union, F.lit(1)))
 
 
 def _range_of(column: Column, cuts: list[int]) -> Column:
@@ -121,26 +120,26 @@ def with_next(df: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
 
 
 def compare_edits(
-    df: DataFrame, k: int = 5, s: int = 2, size: int = 64, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, k: int = 5, s: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every whole text.
 
     The edited text has its last half replaced by the first half's length of the next text by falling id.
     """
-    texts = with_sketch(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), "text", "sketch", k, s, size)
+    texts = with_sketch(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), "text", "sketch", k, s)
     pairs = with_next(texts, "id", ["text", "sketch"]).withColumn("n_chars", F.char_length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
         F.col("text").substr(F.lit(1), (F.col("n_chars") - half).cast("int")), F.col("next_text").substr(F.lit(1), half)
     )
     pairs = pairs.select("id", "n_chars", "sketch", "next_sketch", edited.alias("edited"))
-    both = with_sketch(pairs, "edited", "edited_sketch", k, s, size)
+    both = with_sketch(pairs, "edited", "edited_sketch", k, s)
     return both.select(
         "id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         said("sketch").alias("fingerprint"),
         said("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch", size).alias("near_edited"),
-        likeness("sketch", "next_sketch", size).alias("near_next"),
+        likeness("sketch", "edited_sketch").alias("near_edited"),
+        likeness("sketch", "next_sketch").alias("near_next"),
     )
