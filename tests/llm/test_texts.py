@@ -244,6 +244,23 @@ def test_all_anchors_of_long_texts_count(docs):
         assert rows[i].near_next == pytest.approx(len(sets[i] & sets[j]) / len(sets[i] | sets[j]))
 
 
+def test_runs_without_spaces_keep_their_anchors(docs):
+    r = random.Random(8)
+    signs = {
+        "han": [chr(0x4E00 + i) for i in range(3_000)],
+        "thai": [chr(0x0E01 + i) for i in range(46)],
+        "base64": list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+        "other planes": [chr(0x20000 + i) for i in range(3_000)],
+    }
+    for name, alphabet in signs.items():
+        for n in (60, 3_000):
+            run = "".join(r.choice(alphabet) for _ in range(n))
+            for near in (r.choice(alphabet) + run, run[:7] + run[8:]):
+                rows = {x.id: x for x in syncmers.compare_edits(docs([run, near], [2, 1])).collect()}
+                assert rows[2].near_next > (0.7 if n == 60 else 0.99), (name, n, rows[2].near_next)
+                assert len(rows[2].fingerprint) > 8 * n / 4
+
+
 @pytest.mark.parametrize("partitions", ["1", "3"])
 def test_edits_follow_falling_ids(spark, docs, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)

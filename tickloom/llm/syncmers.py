@@ -1,6 +1,8 @@
 """Document fingerprints from closed syncmers.
 
-A text is read as pieces of at most ``PIECE`` characters between ASCII white space. Of every k consecutive pieces all runs of s pieces
+A text is read as pieces between ASCII white space: words of at most ``PIECE`` characters; of longer runs, and of scripts that
+are written without spaces, each character is a piece (a character repeated up to ``PIECE`` times is one piece), so that no piece
+but of one repeated character depends on where its run began. Of every k consecutive pieces all runs of s pieces
 are hashed; the k-mer is an anchor if its least inner hash lies at either edge. Whether a k-mer is an anchor depends on
 nothing but itself, so an edit changes only the anchors that touch it. The fingerprint is the sorted list of all the distinct
 anchors' 32-bit hashes, eight hex digits each; texts with fewer pieces than k have all their pieces as the one anchor. The likeness
@@ -17,13 +19,17 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import text_of
 
 PIECE = 24
+_BLANK = r"\x20\x09-\x0D"
+_UNSPACED = "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+_SPACED = f"[^{_BLANK}{_UNSPACED}]"
+_PIECES = rf"(?<!{_SPACED}){_SPACED}{{1,{PIECE}}}+(?!{_SPACED})|([^{_BLANK}])\1{{0,{PIECE - 1}}}"
 #: Ranges of ids for each shuffle partition.
 RANGES = 4
 
 
 def _with_anchor_places(df: DataFrame, text_col: str, k: int, s: int) -> DataFrame:
     """Adds ``_h`` (hash of each piece) and ``_at`` (index of the first piece of each anchor)."""
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(_PIECES), F.lit(0))
     df = df.withColumn("_h", F.transform(pieces, lambda w: F.xxhash64(w)))
     inner = F.transform(
         F.sequence(F.lit(0), F.size("_h") - s), lambda i: F.xxhash64(*[F.get("_h", i + j) for j in range(s)])
