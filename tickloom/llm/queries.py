@@ -13,6 +13,7 @@ from tickloom.llm import (
     secret_linking,
     simhash,
     syncmers,
+    token_store,
     token_transducer,
     url_rules,
     warc,
@@ -166,3 +167,9 @@ def op10_quality(spark, sf_dir):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op13_token_store(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_store.round_trip(spark, table(spark, sf_dir, "documents"), path, end_id=0).withColumnRenamed("id", "doc_id")
