@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import (
     bpe_codec,
     chat,
+    merkle,
     packing,
     quality_rules,
     secret_linking,
@@ -173,3 +174,17 @@ def op10_quality(spark, sf_dir):
 def op13_token_store(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_store.round_trip(spark, table(spark, sf_dir, "documents"), path, end_id=0).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    shifted = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns]
+    # the tampered leaf is made beside the true one, so the texts are read once
+    touched = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    rows = merkle.manifest(docs, columns, "lang", "doc_id", keep={"tampered": F.when(touched, merkle.leaf_of(*shifted))})
+    fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), fold.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
