@@ -188,3 +188,47 @@ def op11_merkle(spark, sf_dir):
     return rows.select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), fold.alias("folded_root")
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _bytes_and_value(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256({})".format(" || ".join(_bytes_and_value(c) for c in ("doc_id", "source", "lang", "n_chars", "text")))
+#: CRC-32 of a number's decimal digits: eight shifts for each byte.
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda x, y: list_reduce(list_concat([xor(x, y)], [CAST(i AS BIGINT) FOR i IN range(8)]), lambda z, i: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384) ELSE z >> 1 END)), 4294967295)"""
+SQL["op11_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce(':' || lang, '') AS g, {_LEAF} AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.replace("n_chars", "(n_chars + 1)")} END AS tampered
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM leaves),
+tree AS (
+  SELECT g, 0 AS level, k, leaf AS digest FROM placed
+  UNION ALL
+  SELECT g, level + 1, k // 2, sha256(string_agg(digest, '' ORDER BY k)) FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM tree)
+  WHERE n > 1 GROUP BY g, level, k // 2),
+subroots AS (SELECT g, arg_max(digest, level) AS subroot, max(level) AS height, row_number() OVER (ORDER BY g) - 1 AS place FROM tree GROUP BY g),
+top AS (
+  SELECT 0 AS level, place AS k, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, k // 2, sha256(string_agg(digest, '' ORDER BY k)) FROM (SELECT *, count(*) OVER () AS n FROM top)
+  WHERE n > 1 GROUP BY level, k // 2),
+roots AS (SELECT arg_max(digest, level) AS root, max(level) AS height FROM top),
+steps AS (
+  SELECT p.g, p.k, CAST(l AS BIGINT) AS step, t.digest, t.k > p.k >> l AS behind
+  FROM placed p JOIN subroots s USING (g), unnest(range(s.height)) AS u(l) LEFT JOIN tree t ON t.g = p.g AND t.level = l AND t.k = xor(p.k >> l, CAST(1 AS BIGINT))
+  UNION ALL
+  SELECT p.g, p.k, s.height + l, t.digest, t.k > s.place >> l
+  FROM placed p JOIN subroots s USING (g), roots, unnest(range(roots.height)) AS u(l) LEFT JOIN top t ON t.level = l AND t.k = xor(s.place >> l, CAST(1 AS BIGINT))),
+fold AS (
+  SELECT g, k, CAST(0 AS BIGINT) AS step, coalesce(tampered, leaf) AS held FROM placed
+  UNION ALL
+  SELECT f.g, f.k, f.step + 1, sha256(CASE WHEN s.digest IS NULL THEN held WHEN behind THEN held || s.digest ELSE s.digest || held END)
+  FROM fold f JOIN steps s ON s.g = f.g AND s.k = f.k AND s.step = f.step),
+ends AS (SELECT g, k, arg_max(held, step) AS folded_root FROM fold GROUP BY g, k),
+proofs AS (SELECT g, k, sha256(coalesce(string_agg(digest, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY g, k)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (g) JOIN ends USING (g, k) LEFT JOIN proofs USING (g, k), roots
+"""
