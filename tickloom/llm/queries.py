@@ -10,6 +10,7 @@ from tickloom.llm import (
     chat,
     merkle,
     packing,
+    phrases,
     quality_rules,
     secret_linking,
     simhash,
@@ -232,3 +233,38 @@ proofs AS (SELECT g, k, sha256(coalesce(string_agg(digest, '' ORDER BY step), ''
 SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM placed JOIN subroots USING (g) JOIN ends USING (g, k) LEFT JOIN proofs USING (g, k), roots
 """
+
+
+@query
+def op12_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, best=2_000)
+
+
+SQL["op12_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?
+-
+]')) AS piece FROM documents),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]'), lambda x: x <> '') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (
+  SELECT lang, s AS size, array_to_string(w[i : i + s - 1], ' ') AS phrase FROM spots, (VALUES (1), (2), (3)) AS v(s) WHERE i + s - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+halves AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS tail FROM candidates, (VALUES (1), (2)) AS v(k) WHERE k < size),
+parts AS (SELECT lang, phrase, a, k, head AS part, true AS first FROM halves UNION ALL SELECT lang, phrase, a, k, tail, false FROM halves),
+counted AS (
+  SELECT p.lang, p.phrase, p.a, p.k, max(f.n) FILTER (first) AS l, max(f.n) FILTER (NOT first) AS r
+  FROM parts p JOIN f ON f.lang = p.lang AND f.phrase = p.part GROUP BY ALL),
+cuts AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM counted),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE size = 3),
+longest AS (SELECT lang, phrase, max(a) AS most FROM longer GROUP BY ALL),
+stay AS (SELECT s.* FROM scored s LEFT JOIN longest g USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM stay)
+SELECT lang, rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
+"""
