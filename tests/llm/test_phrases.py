@@ -77,7 +77,7 @@ def test_trie_bursts_and_spills_whole_subtrees(words):
     trie, want, got = HatTrie(words, burst=8), Counter(), Counter()
     spilled = 0
     for _ in range(60):
-        batch = Counter(sum(r.randint(1, 9) << 32 * i for i in range(words)) for _ in range(200))
+        batch = Counter(sum(r.randint(1, 30) << 32 * i for i in range(words)) for _ in range(200))
         trie.add(list(batch), list(batch.values()))
         want.update(batch)
         assert trie.held == trie._size(trie.root)
