@@ -22,6 +22,8 @@ are not read. A very long text is worked on whole, but its words are short-lived
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,30 +87,30 @@ class HatTrie:
             node.setdefault(rest >> bits, {})[rest & mask] = n
         return node
 
-    def _walk(self, at, prefix: int, bits: int):
+    def _walk(self, at, prefix: int, bits: int, out: tuple[list[int], list[int]]) -> tuple[list[int], list[int]]:
         if at.__class__ is Node:
             for word, below in at.items():
-                yield from self._walk(below, prefix | word << bits, bits - 32)
+                self._walk(below, prefix | word << bits, bits - 32, out)
         else:
-            for rest, n in at.items():
-                yield prefix | rest, n
+            out[0].extend([prefix | rest for rest in at])
+            out[1].extend(at.values())
+        return out
 
     def _size(self, at) -> int:
         return sum(map(self._size, at.values())) if at.__class__ is Node else len(at)
 
-    def spill(self, left: int = 0) -> list[list[tuple[int, int]]]:
-        """Take the largest subtrees out, until at most ``left`` phrases are held; the (phrase, count) of each."""
-        top = 32 * (self.words - 1)
+    def spill(self, left: int = 0) -> tuple[list[int], list[int]]:
+        """Take the largest subtrees out whole, until at most ``left`` phrases are held; their phrases and counts."""
+        top, out = 32 * (self.words - 1), ([], [])
         if self.root.__class__ is not Node or not left:
-            out = [list(self._walk(self.root, 0, top))]
+            self._walk(self.root, 0, top, out)
             self.root, self.held = {}, 0
             return out
         sizes = sorted(((self._size(below), word) for word, below in self.root.items()), reverse=True)
-        out = []
         for size, word in sizes:
             if self.held <= left:
                 break
-            out.append(list(self._walk(self.root.pop(word), word << top, top - 32)))
+            self._walk(self.root.pop(word), word << top, top - 32, out)
             self.held -= size
         return out
 
@@ -257,11 +259,22 @@ class Counter:
         return np.flatnonzero(ok[:-1] & ok[1:])
 
     def spill(self, left: int = 0):
-        """Sorted runs as rows of ``RUN``."""
-        names, bits = self.numbers.names, range(32 * (self.words - 1), -1, -32)
-        for run in self.trie.spill(left):
-            rows = sorted((b" ".join([names[p >> b & 0xFFFFFFFF] for b in bits]), n) for p, n in run)
-            yield [(self.lang, phrase.decode(), n) for phrase, n in rows]
+        """The runs of the subtrees taken out, sorted by phrase, as batches of ``RUN``."""
+        phrases, counts = self.trie.spill(left)
+        if not phrases:
+            return
+        names = pa.array(self.numbers.names, pa.binary())
+        if self.words <= 2:
+            packed = np.array(phrases, np.int64)
+            numbers = [packed >> 32, packed & 0xFFFFFFFF] if self.words == 2 else [packed]
+        else:
+            numbers = [np.array([p >> b & 0xFFFFFFFF for p in phrases], np.int64) for b in range(32 * (self.words - 1), -1, -32)]
+        spelt = pc.binary_join_element_wise(*[names.take(pa.array(x)) for x in numbers], b" ") if self.words > 1 else names.take(pa.array(numbers[0]))
+        spelt, counts = spelt.cast(pa.string()), pa.array(counts, pa.int64())
+        order = pc.sort_indices(spelt)
+        for i in range(0, len(order), 50_000):
+            part = order[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(self.lang), len(part)), spelt.take(part), counts.take(part)], names=["lang", "phrase", "n"])
 
     def rows(self, done: bool):
         """Runs to write now: all of them at the end or when many words are numbered, else what is too much."""
@@ -276,7 +289,6 @@ class Counter:
 
 def count_phrases(df: DataFrame, words: int, sieve: Sieve | None = None, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, phrase, n): the sums of all tasks' runs. With a sieve, at least all phrases that it lets through."""
-    kind = arrow_schema(RUN)
     shared = df.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches):
@@ -292,16 +304,13 @@ def count_phrases(df: DataFrame, words: int, sieve: Sieve | None = None, lang_co
                     if c is None:
                         c = counters[lang] = Counter(lang, words, shared.value)
                     c.add(mine)
-                    for rows in c.rows(False):
-                        yield from _row_batches(rows, kind)
+                    yield from c.rows(False)
             # many languages share the room of one
             while sum(c.trie.held for c in counters.values()) > 2 * HELD or len(counters) > 1_000:
                 largest = max(counters, key=lambda x: (counters[x].trie.held, x))
-                for rows in counters.pop(largest).rows(True):
-                    yield from _row_batches(rows, kind)
+                yield from counters.pop(largest).rows(True)
         for c in counters.values():
-            for rows in c.rows(True):
-                yield from _row_batches(rows, kind)
+            yield from c.rows(True)
 
     texts = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UND)).alias("lang"), text_of(text_col).alias("text"))
     runs = texts.mapInArrow(run, RUN)
@@ -313,11 +322,6 @@ def count_phrases(df: DataFrame, words: int, sieve: Sieve | None = None, lang_co
     return dealt.groupBy("lang", "head", "slot", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
 
 
-def _row_batches(rows: list[tuple], kind, size: int = 20_000):
-    for i in range(0, len(rows), size):
-        yield batch_of(rows[i : i + size], kind)
-
-
 # --- collocations
 
 
@@ -354,7 +358,6 @@ def collocations(
             for name, part, of in (("l", _head(size, k), k), ("r", _tail(size, k), size - k)):
                 side = frequent[of - 1].select(F.col("lang").alias("p_lang"), F.col("phrase").alias("part"), F.col("n").alias(f"{name}{k}"))
                 held = held.join(side.hint("merge"), (F.col("lang") == F.col("p_lang")) & (part == F.col("part"))).drop("p_lang", "part")
-        exact = lambda c: F.col(c).cast("decimal(19,0)")
         cuts = []
         for k in range(1, size):
             score = F.expr(f"(CAST(a AS DECIMAL(15,0)) * CAST(a AS DECIMAL(15,0)) * {SCALE}BD) div (CAST(l{k} AS DECIMAL(19,0)) * CAST(r{k} AS DECIMAL(19,0)))")
