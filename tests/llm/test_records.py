@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import chat, packing, queries, quality_rules, secret_linking, simhash, url_rules, warc
+from tickloom.llm import chat, near_copies, packing, queries, quality_rules, secret_linking, url_rules, warc
 from tickloom.llm.common import table
 from tickloom.session import scratch
 
@@ -229,10 +229,10 @@ def test_pipeline_equals_its_parts(spark):
     raw = table(spark, SF, "documents")
     rules = quality_rules.fit(raw, table(spark, SF, "labels"))
     kept = {d.doc_id for d in quality_rules.judge(raw.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), rules).where("kept").collect()}
-    fps = {i: simhash.fingerprint(docs[i]) for i in kept}
+    sets = {i: set(near_copies.shingles(docs[i] or "", 5).tolist()) for i in kept}
     seen, stay = {}, []
     for i in sorted(kept):
-        near = {seen[j] for j in seen if (fps[j] ^ fps[i]).bit_count() <= 4}
+        near = {seen[j] for j in seen if len(sets[j] & sets[i]) >= 0.8 * len(sets[j] | sets[i])}
         root = min([i, *near])
         seen = {j: root if c in near else c for j, c in seen.items()} | {i: root}
     stay = {i for i, c in seen.items() if i == c}
@@ -245,4 +245,4 @@ def test_pipeline_equals_its_parts(spark):
         got[x.doc_id] = got.get(x.doc_id, 0) + x.length
         assert x.doc_tokens == want[x.doc_id]
     assert got == want
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_copies", "secret_scan", "packing"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_copies", "secret_scan", "packing"]

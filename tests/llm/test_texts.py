@@ -68,9 +68,8 @@ def corpus(r):
     return texts
 
 
-@pytest.mark.parametrize(("crowd", "chain"), [(64, 2), (1, 2), (2, 3)])
-def test_simhash_classes(docs, monkeypatch, crowd, chain):
-    monkeypatch.setattr(simhash, "CROWD", crowd)
+@pytest.mark.parametrize("chain", [None, 2, 3])
+def test_simhash_classes(docs, chain):
     texts = corpus(random.Random(4))
     fps = [plain_fingerprint(t) for t in texts]
     rows = {r.id: r for r in simhash.near_duplicates(docs(texts), chain=chain).collect()}
@@ -193,6 +192,57 @@ def test_redaction(docs):
 # --- near copies
 
 
+def _classes(sets, least=0.8):
+    root = {}
+    for i in sorted(sets):
+        near = {root[j] for j in root if len(sets[j] & sets[i]) >= least * len(sets[j] | sets[i])}
+        low = min([i, *near])
+        root = {j: low if c in near else c for j, c in root.items()} | {i: low}
+    return root
+
+
+def test_texts_below_the_limit_make_no_pairs(spark, docs, monkeypatch):
+    """A long shared passage in every text: similarity 0.69 to all others, and nothing linked."""
+    asked = []
+    plain_alike = near_copies._alike
+
+    def counted(pairs, sets, least):
+        asked.append(pairs.distinct().count())
+        return plain_alike(pairs, sets, least)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    shared = " ".join(f"s{i}" for i in range(240))
+    for n in (300, 1_200):
+        asked.clear()
+        texts = [shared + " " + " ".join(f"u{i}_{j}" for j in range(50)) for i in range(n)]
+        got = {x.id: x.component for x in near_copies.near_copies(docs(texts)).collect()}
+        assert got == {i: i for i in range(1, n + 1)}
+        # some pivots of each round, and no pair after them
+        assert sum(asked) < 30 * near_copies.ROUNDS * n and asked[-1] == 0
+
+
+def test_near_copies_of_a_large_edited_group(spark, docs):
+    """Texts with single words changed, at similarities on both sides of the limit."""
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for j in r.sample(range(120), r.choice([0, 1, 2, 3, 4, 6])):
+            words[j] = f"e{i}_{j}"
+        texts.append(" ".join(words))
+    sets = {i: set(near_copies.shingles(t).tolist()) for i, t in enumerate(texts, 1)}
+    got = {x.id: x.component for x in near_copies.near_copies(docs(texts)).collect()}
+    assert got == _classes(sets) and len(set(got.values())) > 3
+
+
+def test_near_copies_odd_tables(spark, docs):
+    assert near_copies.near_copies(docs([])).count() == 0
+    one = " ".join(f"w{i}" for i in range(30))
+    rows = near_copies.near_copies(docs([one, one, None, "", one, "short"], [4, 4, 9, 3, None, 4])).collect()
+    assert sorted((x.id, x.component) for x in rows) == [(3, 3), (4, 4), (4, 4), (4, 4), (9, 3)]
+
+
 def test_near_copies_by_exact_similarity(spark, docs):
     """Edits at similarities around 0.8 against brute force; 4 bits of a SimHash miss most of them."""
     r = random.Random(12)

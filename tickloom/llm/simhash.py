@@ -9,8 +9,8 @@ start, and asks for every value of them within these budgets; the longer runs pr
 Work is on distinct fingerprints, each standing for the smallest id that has it. Large groups of near copies would make
 pairs with the square of their size, so links are found in two steps. First, in every bucket each fingerprint is compared with the
 bucket's pivot (the one with most documents) only, and the components of those links are made. Second, pairs are compared in a bucket only between
-different components, and not at all in a bucket of one component: a link inside a component changes no class. No link
-between components is lost, so the classes are those of all pairs.
+different components, and members of a bucket's largest component only with the others in it: a link inside a component changes no class.
+No link between components is lost, so the classes are those of all pairs. The plan is the same at every size.
 
 Null text counts as empty: fingerprint zero, linked like any other. Texts of fewer words than a shingle are one shingle.
 Repeated ids give repeated rows; a null id stays in its class and counts as no smallest id (a class of null ids only has the id null).
@@ -33,10 +33,10 @@ BLOCK = 1 << 16
 #: Bits of each value of a byte, most significant first, and the place of each byte's counts.
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 BYTE_AT = np.arange(8) * 256
-#: Fingerprints in one bucket from which it is compared by way of a pivot; no class depends on it.
-CROWD = 64
-#: Most crowded buckets that are broadcast (16 bytes each).
-SENT = 100_000
+#: Distinct fingerprints from which a third segment is filed: with two, chance meetings in a bucket outgrow the asks.
+THIRD = 1 << 30
+#: Parts that a class is read back in.
+SALTS = 16
 
 
 def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
@@ -163,44 +163,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _links(distinct: DataFrame, budget: int, chain: int) -> DataFrame:
-    """(fp, root) for every fingerprint that has a link."""
+    """(fp, root) for every fingerprint whose root is another one, stored."""
     spark = distinct.sparkSession
     filed = distinct.select("fp", "n", F.explode(_keys(budget, chain, near=False)).alias("key"))
-    asks = distinct.select("fp", F.explode(_keys(budget, chain, near=True)).alias("key"))
-    crowded, crowded_path = stored(
-        filed.groupBy("key").agg(F.count("*").alias("size"), F.max_by("fp", "n").alias("pivot")).where(F.col("size") > CROWD).select("key", "pivot"),
-        "crowded",
-    )
+    shared = filed.groupBy("key").agg(F.count("*").alias("size"), F.max_by("fp", "n").alias("pivot")).where("size > 1").select("key", "pivot")
+    shared, shared_path = stored(shared, "shared")
     # merge joins by hint: Spark would judge the sides by the compressed files they come from and broadcast large ones
-    x, y = F.col("x.fp"), F.col("y.fp")
-    close = _in_budget(x, y, F.col("x.key"), budget, chain)
-    n_crowded = crowded.count()
-    if not n_crowded:
-        pairs = asks.alias("x").join(filed.hint("merge").alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & close)
-        return components(pairs.select(x.alias("a"), y.alias("b"))).withColumnRenamed("node", "fp")
-    few = F.broadcast if n_crowded <= SENT else (lambda df: df)
-    keys = few(crowded.select("key"))
-    star = filed.join(few(crowded), "key").where((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
-    rough = components(star.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("node", "fp")
-    c = F.coalesce("root", "fp").alias("c")
-    known = distinct.join(rough, "fp", "left").select("fp", "n", c)
+    star = filed.join(shared.hint("merge"), "key").where((F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= budget))
+    rough, rough_path = stored(components(star.select(F.col("fp").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("node", "fp"), "rough")
+    known, known_path = stored(distinct.join(rough.hint("merge"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("c")), "known")
     filed = known.select("fp", "c", F.explode(_keys(budget, chain, near=False)).alias("key"))
     asks = known.select("fp", "c", F.explode(_keys(budget, chain, near=True)).alias("key"))
-    apart = F.col("x.c") != F.col("y.c")
-    usual = asks.alias("x").join(filed.join(keys, "key", "left_anti").hint("merge").alias("y"), (F.col("x.key") == F.col("y.key")) & (x < y) & apart & close)
-    # crowded buckets: all but the bucket's main component ask everyone, the main one asks the others
-    full, full_path = stored(filed.join(keys, "key"), "crowd")
-    main = full.groupBy("key", "c").count().groupBy("key").agg(F.max_by("c", "count").alias("main"))
-    main, main_path = stored(main, "main")
-    asking, asking_path = stored(asks.join(few(main), "key").where("main IS NOT NULL"), "asking")
-    sized = full.join(few(main), "key")
-    others = asking.where("c <> main").alias("x").join(sized.alias("y"), (F.col("x.key") == F.col("y.key")) & apart & close)
-    ours = asking.where("c = main").alias("x").join(sized.where("c <> main").alias("y"), (F.col("x.key") == F.col("y.key")) & apart & close)
-    met = [p.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")) for p in (usual, others, ours)]
-    fine = components(met[0].unionByName(met[1]).unionByName(met[2]).distinct())
-    out = known.join(fine.withColumnRenamed("node", "c").withColumnRenamed("root", "r"), "c", "left")
-    out, _ = stored(out.select("fp", F.coalesce("r", "c").alias("root")).where("fp <> root"), "classes")
-    discard(spark, crowded_path, full_path, main_path, asking_path)
+    sizes = filed.join(shared.select("key").hint("merge"), "key").groupBy("key", "c").agg(F.count("*").alias("n"))
+    main, main_path = stored(sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top")).select("key", F.col("top.c").alias("main")), "main")
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c"))
+    close = _in_budget(F.col("x.fp"), F.col("y.fp"), F.col("x.key"), budget, chain)
+    # all ask for what is not of a bucket's largest component; what is not of that asks for it too
+    rest = filed.join(main.hint("merge"), "key", "left").where("main IS NULL OR c <> main")
+    others = asks.alias("x").join(rest.hint("merge").alias("y"), apart & close)
+    strays = asks.join(main.hint("merge"), "key").where("c <> main")
+    largest = filed.join(main.hint("merge"), "key").where("c = main")
+    mains = strays.alias("x").join(largest.hint("merge").alias("y"), apart & close)
+    met = [p.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")) for p in (others, mains)]
+    fine = components(met[0].unionByName(met[1])).withColumnRenamed("node", "c").withColumnRenamed("root", "r")
+    out = known.join(fine.hint("merge"), "c", "left").select("fp", F.coalesce("r", "c").alias("root"))
+    out, _ = stored(out.where("fp <> root"), "classes")
+    discard(spark, shared_path, rough_path, known_path, main_path)
     return out
 
 
@@ -209,20 +197,23 @@ def near_duplicates(
     words: int = 4,
     seed: int = 42,
     budget: int = 4,
-    chain: int = 2,
+    chain: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(id, fp, component): every row with its fingerprint and the smallest id of its class.
 
-    ``chain`` changes the size of buckets only, not the classes: 2 files 26 bits and asks for 69 values; for
-    billions of distinct fingerprints 3 files 39 bits and asks for 1,370.
+    ``chain`` changes the size of buckets only, not the classes: 2 files 26 bits and asks for 69 values, 3 files 39 bits and asks for
+    1,370; by default 2, and 3 from ``THIRD`` distinct fingerprints on.
     """
     fps, _ = stored(fingerprints(df, words, seed, id_col, text_col), "fingerprints")
     distinct, distinct_path = stored(fps.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")
-    links = _links(distinct, budget, chain)
-    rooted = distinct.join(links, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    links = _links(distinct, budget, chain or (2 if distinct.count() < THIRD else 3))
+    rooted = distinct.join(links.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted, rooted_path = stored(rooted.withColumn("salt", F.pmod("fp", F.lit(SALTS))), "rooted")
+    # a class of very many fingerprints is read back in parts
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    classes, _ = stored(rooted.join(smallest, "root").select("fp", "component"), "components")
-    discard(df.sparkSession, distinct_path)
-    return fps.join(classes, "fp").select("id", "fp", "component")
+    spread = smallest.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
+    classes, _ = stored(rooted.join(spread.hint("merge"), ["root", "salt"]).select("fp", "component"), "components")
+    discard(df.sparkSession, distinct_path, rooted_path)
+    return fps.join(classes.hint("merge"), "fp").select("id", "fp", "component")
