@@ -165,7 +165,7 @@ def test_ridge_from_sums_matches_numpy(spark):
 def test_regimes_follow_two_obvious_groups(spark):
     pdf = pd.DataFrame({"instrument": "A", "date": pd.date_range("2024-01-01", periods=100).date, "v": [0.1] * 50 + [5.0] * 50})
     pdf["v"] += np.linspace(0, 0.05, 100)
-    got = m.grouped_regimes(spark.createDataFrame(pdf), ["v"], 2, rounds=3).toPandas().sort_values("date")
+    got = m.grouped_regimes(spark.createDataFrame(pdf), ["v"], 2, max_rounds=50).toPandas().sort_values("date")
     assert got["regime"].tolist() == [0] * 50 + [1] * 50
 
 
