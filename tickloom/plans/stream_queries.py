@@ -26,6 +26,11 @@ def _ticks(s, sf) -> DataFrame:
 
 def _source(s, sf, copies: int = 1) -> DataFrame:
     """Ticks as a file stream; ``copies`` > 1 repeats every record."""
+    return _sources(s, sf, copies)[0]
+
+
+def _sources(s, sf, copies: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Ticks as a file stream, and the same files as a table."""
 
     def write(root):
         t = _ticks(s, sf)
@@ -34,14 +39,20 @@ def _source(s, sf, copies: int = 1) -> DataFrame:
         t.write.parquet(root)
 
     path = _stored(s, sf, f"ticks{copies}", write)
-    return jobs.read_files(s, path, _ticks(s, sf).schema)
+    schema = _ticks(s, sf).schema
+    return jobs.read_files(s, path, schema), s.read.schema(schema).parquet(path)
 
 
-_TK = "tk AS (SELECT event_id, event_type AS instrument, ts, value AS price, user_id AS size, sin(value) AS sentiment FROM events)"
+def _finished(s, sf, build, end, name, reach=None, prepare=lambda df: df) -> DataFrame:
+    stream, batch = _sources(s, sf)
+    return jobs.run_and_finish(build, prepare(stream), prepare(batch), end, name, reach)
 
 
-def _closed(delay: str) -> str:
-    return f"(SELECT max(ts) - INTERVAL {delay} FROM tk)"
+def _bars(s, sf) -> DataFrame:
+    return _finished(s, sf, lambda x: jobs.bars(x, "hourly"), F.col("bar_start") + F.expr("INTERVAL 1 HOUR"), "bars", "1 HOUR")
+
+
+_TK = "tk AS (SELECT event_id, event_type AS instrument, ts, value AS price, user_id AS size, sin(value) AS sentiment FROM events)"
 
 
 register(
@@ -56,46 +67,49 @@ register(
     "stream_bars",
     "STR-2",
     lambda s, sf: rounded(
-        jobs.run_available(jobs.bars(_source(s, sf), "hourly"), "bars").select(
+        _bars(s, sf).select(
             "instrument", F.unix_timestamp("bar_start").alias("bar_epoch"), "open", "high", "low", "close", "volume"
         )
     ),
     with_ctes(
         [_TK],
         f"""SELECT instrument, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS bar_epoch, {r('first(price ORDER BY ts, event_id)', 'open')}, {r('max(price)', 'high')},
-        {r('min(price)', 'low')}, {r('last(price ORDER BY ts, event_id)', 'close')}, CAST(sum(size) AS BIGINT) AS volume FROM tk
-        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_closed('10 MINUTE')} GROUP BY 1, 2""",
+        {r('min(price)', 'low')}, {r('last(price ORDER BY ts, event_id)', 'close')}, CAST(sum(size) AS BIGINT) AS volume FROM tk GROUP BY 1, 2""",
     ),
 )
 register(
     "stream_daily_sentiment",
     "STR-3",
-    lambda s, sf: rounded(jobs.run_available(jobs.daily_sentiment(_source(s, sf)), "sentiment")),
+    lambda s, sf: rounded(_finished(s, sf, jobs.daily_sentiment, F.col("date").cast("timestamp") + F.expr("INTERVAL 1 DAY"), "sentiment", "1 DAY")),
     with_ctes(
         [_TK],
         f"""SELECT instrument, CAST(ts AS DATE) AS date, count(*) AS article_count, {r('avg(sentiment)', 'sentiment_mean')}, {r('coalesce(stddev_samp(sentiment), 0)', 'sentiment_std')},
-        {r('min(sentiment)', 'sentiment_min')}, {r('max(sentiment)', 'sentiment_max')} FROM tk WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= {_closed('1 DAY')} GROUP BY 1, 2""",
+        {r('min(sentiment)', 'sentiment_min')}, {r('max(sentiment)', 'sentiment_max')} FROM tk GROUP BY 1, 2""",
     ),
 )
 register(
     "stream_article_shock",
     "STR-4",
     lambda s, sf: rounded(
-        jobs.run_available(jobs.article_shock(_source(s, sf)), "shock").select(
+        _finished(s, sf, jobs.article_shock, F.col("window_end"), "shock", "7 DAYS").select(
             "instrument", F.col("window_start").cast("date").alias("window_start"), F.col("window_end").cast("date").alias("window_end"), "article_count", "news_shock"
         )
     ),
     with_ctes(
         [_TK, "wd AS (SELECT instrument, ts, CAST(CAST(ts AS DATE) - CAST(k AS INTEGER) AS DATE) AS s FROM tk, (SELECT unnest(range(0, 7)) AS k))"],
-        f"""SELECT instrument, s AS window_start, CAST(s + 7 AS DATE) AS window_end, count(*) AS article_count, {r('least(count(*) / 35.0, 2)', 'news_shock')} FROM wd
-        WHERE s + INTERVAL 7 DAY <= {_closed('1 DAY')} GROUP BY 1, 2""",
+        f"""SELECT instrument, s AS window_start, CAST(s + 7 AS DATE) AS window_end, count(*) AS article_count, {r('least(count(*) / 35.0, 2)', 'news_shock')} FROM wd GROUP BY 1, 2""",
     ),
 )
 register(
     "stream_gap_sessions",
     "STR-5",
-    lambda s, sf: jobs.run_available(
-        jobs.gap_sessions(_source(s, sf).withColumn("instrument", F.col("size").cast("string")), "1 hour"), "sessions"
+    lambda s, sf: _finished(
+        s,
+        sf,
+        lambda x: jobs.gap_sessions(x, "1 hour"),
+        F.col("last_ts") + F.expr("INTERVAL 1 HOUR"),
+        "sessions",
+        prepare=lambda x: x.withColumn("instrument", F.col("size").cast("string")),
     ).select(
         "instrument", F.unix_timestamp("first_ts").alias("first_epoch"), F.unix_timestamp("last_ts").alias("last_epoch"), "rows"
     ),
@@ -106,21 +120,20 @@ register(
             "br AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS b FROM us WINDOW w AS (PARTITION BY instrument ORDER BY ts))",
             "sn AS (SELECT *, sum(b) OVER (PARTITION BY instrument ORDER BY ts) AS g FROM br)",
         ],
-        f"""SELECT instrument, CAST(floor(epoch(min(ts))) AS BIGINT) AS first_epoch, CAST(floor(epoch(max(ts))) AS BIGINT) AS last_epoch, count(*) AS rows FROM sn GROUP BY instrument, g
-        HAVING max(ts) + INTERVAL 1 HOUR <= {_closed('1 HOUR')}""",
+        f"""SELECT instrument, CAST(floor(epoch(min(ts))) AS BIGINT) AS first_epoch, CAST(floor(epoch(max(ts))) AS BIGINT) AS last_epoch, count(*) AS rows FROM sn GROUP BY instrument, g""",
     ),
 )
 _HB = f"""
-hb AS (SELECT instrument, date_trunc('hour', ts) AS h, last(price ORDER BY ts, event_id) AS close FROM tk WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_closed('10 MINUTE')} GROUP BY 1, 2),
+hb AS (SELECT instrument, date_trunc('hour', ts) AS h, last(price ORDER BY ts, event_id) AS close FROM tk GROUP BY 1, 2),
 hn AS (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY h) - 1 AS n FROM hb),
 em(instrument, h, n, y) AS (SELECT instrument, h, n, close FROM hn WHERE n = 0 UNION ALL SELECT d.instrument, d.h, d.n, {1 - 2 / 13!r} * em.y + {2 / 13!r} * d.close FROM em JOIN hn d ON d.instrument = em.instrument AND d.n = em.n + 1)"""
 
 
 def _ewm(s, sf):
-    """Two queries joined by a table: bars are appended to files, the mean reads those files."""
-    path = scratch(s, "bar-table")
-    closed = jobs.run_available(jobs.bars(_source(s, sf), "hourly"), "bars-for-ewm", path)
-    out = jobs.run_available(jobs.ewm(jobs.read_files(s, path, closed.schema), 12), "ewm")
+    """Two queries joined by a table: finished bars are written to files, the mean reads those files."""
+    path, bars = scratch(s, "bar-table"), _bars(s, sf)
+    bars.write.parquet(path)
+    out = jobs.run_available(jobs.ewm(jobs.read_files(s, path, bars.schema), 12), "ewm")
     return rounded(out.select("instrument", F.unix_timestamp("bar_start").alias("bar_epoch"), "ewm"))
 
 

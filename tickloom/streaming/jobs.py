@@ -2,12 +2,12 @@
 
 Each function maps a streaming DataFrame to a streaming DataFrame; ``run_available`` drains
 a source into parquet files under the shared folder and returns them as a table, so nothing
-passes through the driver.
+passes through the driver. ``run_and_finish`` adds the windows that the watermark has not closed yet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 from typing import Any
 
@@ -57,6 +57,40 @@ def run_available(out: DataFrame, name: str, path: str | None = None, checkpoint
     return spark.read.schema(out.schema).parquet(path)
 
 
+def watermark_of(spark: SparkSession, checkpoint: str) -> Column:
+    """Event time up to which a stopped query has closed its windows; 1970 before its first watermark."""
+    log = spark.read.text(f"{checkpoint}/offsets").where(F.col("value").contains("batchWatermarkMs"))
+    held = log.agg(F.max(F.get_json_object("value", "$.batchWatermarkMs").cast("bigint"))).first()[0]
+    return F.timestamp_millis(F.lit(held or 0))
+
+
+def run_and_finish(
+    build: Callable[[DataFrame], DataFrame],
+    stream: DataFrame,
+    batch: DataFrame,
+    end: Column,
+    name: str,
+    reach: str | None = None,
+    time: str = "ts",
+    path: str | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Drain ``stream`` through ``build`` and add the windows that are still open, made from the same rows as a batch.
+
+    ``batch`` reads the files of ``stream``. ``end`` is the end of a result's window, in columns of the result. A window is written to the sink when
+    the watermark reaches its end; rows of windows that end later were never dropped as late, so the batch form of these windows is
+    what the state holds. The sink and the state are left as they are: a later run with the same ``path`` and ``checkpoint`` goes on.
+    ``reach`` bounds a window's length, so that only rows near the watermark are read again; sessions have no such bound.
+    """
+    spark = stream.sparkSession
+    base = scratch(spark, f"stream-{name}")
+    path, checkpoint = path or f"{base}/data", checkpoint or f"{base}/state"
+    closed = run_available(build(stream), name, path, checkpoint)
+    mark = watermark_of(spark, checkpoint)
+    recent = batch if reach is None else batch.where(F.col(time) >= mark - F.expr(f"INTERVAL {reach}"))
+    return closed.unionByName(build(recent).where(end > mark))
+
+
 def news_ingest(stream: DataFrame, key: str = "article_id", time: str = "ts", keep: str = "90 days") -> DataFrame:
     """First copy of each article id; ids are remembered for ``keep`` of event time."""
     return stream.withWatermark(time, keep).dropDuplicatesWithinWatermark([key])
