@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 import xxhash
@@ -192,6 +193,32 @@ def test_redaction(docs):
 # --- near copies
 
 
+def test_long_secrets_and_texts_of_many_parts():
+    key = "AKIA" + "Q" * 16
+    for n in (20, 128, 129, 5_000):
+        secret = ("aB3/" * n)[:n]
+        text = f"id {key} and {secret} end"
+        spans = {(k, text[a:b]) for a, k, b in secret_linking.link([text])[0]}
+        assert (1, key) in spans and (3, secret) in spans
+        assert secret not in secret_linking.redact(text)
+    # alternating parts: twice the text takes about twice the time, not four times
+    part = "password = hunter2hunter " + "x9Y" * 10 + " "
+    took = []
+    for n in (4_000, 16_000):
+        start = time.process_time()
+        found = secret_linking.link([part * n])[0]
+        took.append(time.process_time() - start)
+        assert len(found) == n  # the strings are not completed by an identifier
+    assert took[1] < 10 * took[0] + 1
+
+
+def test_secret_tables_with_odd_rows(docs):
+    text = "token = deadbeef1234"
+    got = secret_linking.find_secrets(docs([text, text, None, "", text], [1, 1, 2, None, None])).collect()
+    assert sorted((str(r.id), len(r.spans)) for r in got) == [("1", 1), ("1", 1), ("2", 0), ("None", 0), ("None", 1)]
+    assert secret_linking.find_secrets(docs([])).count() == 0
+
+
 def _classes(sets, least=0.8):
     root = {}
     for i in sorted(sets):

@@ -11,7 +11,8 @@ reported only when the parts that complete it are there:
 * an endpoint needs an identifier and a secret.
 
 The join sorts the parts of a step by place and asks by binary search whether a kind has a part that begins within a scope and
-ends in it, so its work is that of sorting, however many parts a text holds.
+ends in it, so its work is that of sorting, however many parts a text holds. A secret-like string has 20 signs or more, a digit and a
+lower-case letter; strings without these are no candidates, however long.
 
 Null text counts as empty and has no spans; ids and repeated rows pass through unchanged. Places are code points, ends
 are exclusive.
@@ -20,6 +21,7 @@ are exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
-# weak parts: a mixed string of 20 to 128 signs, an assigned name, an address
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+# weak parts: a string of 20 signs at least with a digit and a lower-case letter, an assigned name, an address
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 _IDENTIFIER = re.compile(
     r"""\b(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key_?id|tenant(?:_?id)?)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9@_.+-]{3,})""",
     re.IGNORECASE | re.ASCII,
@@ -73,7 +75,7 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[in
     if not base and not _IDENTIFIER.search(text):
         return  # every rule needs a base part or an assigned identifier
     for m in _SECRET.finditer(text):
-        if np.searchsorted(starts, m.end()) == np.searchsorted(ends, m.start(), side="right"):
+        if bisect_left(starts, m.end()) == bisect_right(ends, m.start()):
             yield m.start(), 3, m.end()
     for m in _IDENTIFIER.finditer(text):
         yield m.start(), 4, m.end()
