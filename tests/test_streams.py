@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions.ewm import prefix_means
 from tickloom.streaming import jobs
 
 START = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -61,3 +64,71 @@ def test_watermark_of_a_new_query_is_1970(spark, tmp_path):
     (tmp_path / "offsets").mkdir()
     (tmp_path / "offsets" / "0").write_text('v1\n{"batchWatermarkMs":0,"batchTimestampMs":1}\n{}')
     assert spark.range(1).select(F.unix_millis(jobs.watermark_of(spark, str(tmp_path)))).first()[0] == 0
+
+
+def _ewm_files(spark, root, pieces):
+    for rows in pieces:
+        data = [(k, START + dt.timedelta(hours=h), x) for k, h, x in rows]
+        spark.createDataFrame(data, "instrument string, bar_start timestamp, close double").coalesce(1).write.mode("append").parquet(root)
+
+
+def _ewm_wanted(rows, span):
+    alpha, out = 2 / (span + 1), []
+    for k in sorted({r[0] for r in rows}):
+        y = None
+        for _, h, x in sorted(r for r in rows if r[0] == k):
+            y = x if y is None else (1 - alpha) * y + alpha * x
+            out.append((k, h, x, pytest.approx(y, rel=1e-9)))
+    return out
+
+
+def _ewm_rows(df):
+    hours = (F.unix_timestamp("bar_start") - int(START.timestamp())) / 3600
+    return table(df.select("instrument", hours.cast("int"), "close", "ewm"))
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_mean_does_not_depend_on_the_order_of_files(spark, tmp_path, seed):
+    rows = [("AB"[h % 2], h, float((h * 37) % 101)) for h in range(200)]
+    rows += [("A", 50, 3.0), ("A", 50, 1.0)]  # one time, several values: by ascending value
+    shuffled = rows[:]
+    if seed is not None:
+        random.Random(seed).shuffle(shuffled)
+    root, place = f"{tmp_path}/bars", {"path": f"{tmp_path}/sink", "checkpoint": f"{tmp_path}/state"}
+
+    def run():
+        stream = jobs.read_files(spark, root, "instrument string, bar_start timestamp, close double", files_per_trigger=1)
+        return _ewm_rows(jobs.run_ewm(stream, 5, late="250 hours", **place))
+
+    _ewm_files(spark, root, [shuffled[i : i + 50] for i in range(0, len(rows), 50)])
+    assert run() == _ewm_wanted(rows, 5)
+    # a second drain goes on from the state; most of the first rows are passed by the watermark now
+    more = [("AB"[h % 2], h, float(h % 13)) for h in range(200, 420)]
+    _ewm_files(spark, root, [more[110:], more[:110]])
+    assert run() == _ewm_wanted(rows + more, 5)
+    assert spark.read.parquet(place["path"]).count() > 100
+    assert run() == _ewm_wanted(rows + more, 5)
+
+
+def test_mean_leaves_out_late_and_incomplete_rows(spark, tmp_path):
+    root = f"{tmp_path}/bars"
+    rows = [("A", h, float(h)) for h in range(0, 100, 2)]
+    _ewm_files(spark, root, [rows])
+    schema = "instrument string, bar_start timestamp, close double"
+    place = {"path": f"{tmp_path}/sink", "checkpoint": f"{tmp_path}/state"}
+    jobs.run_ewm(jobs.read_files(spark, root, schema), 3, late="10 hours", **place)
+    _ewm_files(spark, root, [[("A", 1, 1e9), ("A", 97, 5.0), (None, 98, 1.0), ("A", 99, None)]])
+    out = jobs.run_ewm(jobs.read_files(spark, root, schema), 3, late="10 hours", **place)
+    assert _ewm_rows(out) == _ewm_wanted([*rows, ("A", 97, 5.0)], 3)
+
+
+def test_prefix_means_equal_the_recursion():
+    x = np.random.default_rng(5).normal(size=1_000)
+    for alpha in (0.02, 0.3, 0.9):
+        want, y = [], None
+        for v in x:
+            y = v if y is None else (1 - alpha) * y + alpha * v
+            want.append(y)
+        assert np.allclose(prefix_means(x, alpha), want, rtol=1e-9, atol=1e-12)
+        assert np.allclose(prefix_means(x[400:], alpha, want[399]), want[400:], rtol=1e-9, atol=1e-12)
+    assert len(prefix_means(x[:0], 0.3)) == 0

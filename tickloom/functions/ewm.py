@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,21 @@ def span_alpha(span: int) -> float:
     return 2.0 / (span + 1.0)
 
 
+def prefix_means(x: np.ndarray, alpha: float, before: float | None = None) -> np.ndarray:
+    """The same recursion on an array, carried on from ``before``; None: the first value seeds it.
+
+    Works by prefix sums of ``reach(alpha)`` values at a time, so the loop runs over blocks.
+    """
+    out = np.empty(len(x))
+    y, length = (x[0] if before is None and len(x) else before), reach(alpha)
+    for lo in range(0, len(x), length):
+        part = x[lo : lo + length]
+        decay = (1.0 - alpha) ** np.arange(1, len(part) + 1)
+        out[lo : lo + length] = decay * (y + alpha * np.cumsum(part / decay))
+        y = out[lo + len(part) - 1]
+    return out
+
+
 def with_ewm(
     df: DataFrame,
     specs: Mapping[str, tuple[str, float, int]],

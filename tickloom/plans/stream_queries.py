@@ -133,7 +133,7 @@ def _ewm(s, sf):
     """Two queries joined by a table: finished bars are written to files, the mean reads those files."""
     path, bars = scratch(s, "bar-table"), _bars(s, sf)
     bars.write.parquet(path)
-    out = jobs.run_available(jobs.ewm(jobs.read_files(s, path, bars.schema), 12), "ewm")
+    out = jobs.run_ewm(jobs.read_files(s, path, bars.schema), 12)
     return rounded(out.select("instrument", F.unix_timestamp("bar_start").alias("bar_epoch"), "ewm"))
 
 

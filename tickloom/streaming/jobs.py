@@ -8,15 +8,16 @@ passes through the driver. ``run_and_finish`` adds the windows that the watermar
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.functions.ewm import span_alpha
+from tickloom.functions.ewm import prefix_means, span_alpha, with_ewm
 from tickloom.session import scratch
 
 # window length of each bar interval: fixed values
@@ -167,33 +168,127 @@ def gap_sessions(stream: DataFrame, gap: str = "3 hours", late: str = "1 hour",
     )
 
 
-def ewm(bars_stream: DataFrame, span: int, value: str = "close", time: str = "bar_start") -> DataFrame:
-    """Exponential mean per instrument, carried across micro-batches as one number per key.
-
-    Feed it bars, not ticks: a micro-batch then holds a bounded number of rows per key, and
-    only those are ordered in the task.
+class OrderedMean(StatefulProcessor):
+    """Holds the rows of a key until the watermark passes them, then adds them to the mean in time order."""
+
+    def __init__(self, alpha: float):
+        self.alpha = alpha
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.level = handle.getValueState("level", "y double")
+        self.held = handle.getListState("held", "micros bigint, x double")
+
+    def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:
+            micros = pdf["micros"].to_numpy("int64")
+            self.held.appendList(list(zip(micros.tolist(), pdf["x"].to_numpy("float64").tolist())))
+            first = int(micros.min()) if first is None else min(first, int(micros.min()))
+        if first is not None:
+            self._wake(-(-first // 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        limit = timerValues.getCurrentWatermarkInMs() * 1000
+        held = pd.DataFrame(list(self.held.get()), columns=["micros", "x"])
+        due = held[held["micros"] <= limit].sort_values(["micros", "x"], ignore_index=True)
+        later = held[held["micros"] > limit]
+        self.held.clear()
+        if len(later):
+            self.held.put(list(zip(later["micros"].tolist(), later["x"].tolist())))
+            self.handle.registerTimer(-(-int(later["micros"].min()) // 1000))
+        if len(due):
+            x = due["x"].to_numpy("float64")
+            y = prefix_means(x, self.alpha, self.level.get()[0] if self.level.exists() else None)
+            self.level.update((float(y[-1]),))
+            yield pd.DataFrame({"instrument": key[0], "micros": due["micros"], "x": x, "y": y})
+
+    def _wake(self, millis: int) -> None:
+        """One timer a key, at its oldest held row."""
+        for old in list(self.handle.listTimers()):
+            if old <= millis:
+                return
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(millis)
+
+    def close(self) -> None:
+        pass
+
+
+def ewm(bars_stream: DataFrame, span: int, value: str = "close", time: str = "bar_start", late: str = "1 day") -> DataFrame:
+    """Exponential mean per instrument in event-time order, whatever order files and micro-batches come in.
+
+    A row waits until the watermark (newest time less ``late``) passes it, so the state holds the rows of the time span ``late`` and one
+    number per key. Rows of one time are taken by ascending value. Rows behind the watermark are dropped, as are rows without a time, a
+    value or an instrument. ``run_ewm`` drains a source and adds the rows that still wait.
     """
-    alpha = span_alpha(span)
-
-    def update(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(time, ignore_index=True)
-        y = state.get[0] if state.exists else None
-        out = []
-        for x in pdf[value]:
-            y = float(x) if y is None else (1 - alpha) * y + alpha * float(x)
-            out.append(y)
-        if y is not None:
-            state.update((y,))
-        yield pd.DataFrame({"instrument": pdf["instrument"], time: pdf[time], value: pdf[value], "ewm": out})
-
     return (
-        bars_stream.select("instrument", time, F.col(value).cast("double").alias(value))
+        bars_stream.select("instrument", F.col(time).alias("at"), F.col(value).cast("double").alias("x"))
+        .dropna()
+        .withWatermark("at", late)
+        .withColumn("micros", F.unix_micros("at"))
         .groupBy("instrument")
-        .applyInPandasWithState(
-            update,
-            f"instrument string, {time} timestamp, {value} double, ewm double",
-            "y double",
-            "append",
-            GroupStateTimeout.NoTimeout,
+        .transformWithStateInPandas(
+            OrderedMean(span_alpha(span)), "instrument string, micros bigint, x double, y double", "append", "eventTime"
         )
+        .select("instrument", F.timestamp_micros("micros").alias(time), F.col("x").alias(value), F.col("y").alias("ewm"))
+    )
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Named state variables need the RocksDB state store; the session's own setting returns afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def waiting_ewm(spark: SparkSession, checkpoint: str, span: int, value: str = "close", time: str = "bar_start") -> DataFrame:
+    """Means of the rows that a stopped ``ewm`` query still holds, from its state; the state is only read.
+
+    The level of a key goes before its held rows as their first value, so the batch form carries it on.
+    """
+
+    def variable(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+    level = variable("level").select(
+        F.col("key.instrument").alias("instrument"), F.lit(None).cast("bigint").alias("micros"), F.col("value.y").alias("x")
     )
+    held = variable("held").select(F.col("key.instrument").alias("instrument"), "list_element.micros", "list_element.x")
+    # nulls come first in a window; ties by value as in the stream
+    rows = level.unionByName(held).withColumn("_at", F.struct("micros", "x"))
+    return (
+        with_ewm(rows, {"ewm": ("x", span_alpha(span), 0)}, ["instrument"], "_at")
+        .where("micros IS NOT NULL")
+        .select("instrument", F.timestamp_micros("micros").alias(time), F.col("x").alias(value), "ewm")
+    )
+
+
+def run_ewm(
+    bars_stream: DataFrame,
+    span: int,
+    value: str = "close",
+    time: str = "bar_start",
+    late: str = "1 day",
+    path: str | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Drain ``bars_stream`` through ``ewm`` and add the rows that the watermark has not passed yet.
+
+    A later run with the same ``path`` and ``checkpoint`` goes on: neither the sink nor the state is changed by what is added.
+    """
+    spark = bars_stream.sparkSession
+    base = scratch(spark, "stream-ewm")
+    path, checkpoint = path or f"{base}/data", checkpoint or f"{base}/state"
+    with rocks_state(spark):
+        done = run_available(ewm(bars_stream, span, value, time, late), "ewm", path, checkpoint)
+    return done.unionByName(waiting_ewm(spark, checkpoint, span, value, time))
