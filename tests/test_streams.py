@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions.ewm import prefix_means
+from tickloom.operators import news
 from tickloom.streaming import jobs
 
 START = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -22,7 +23,7 @@ def ticks(spark, first, minutes):
 
 
 def table(df):
-    return sorted(tuple(x) for x in df.collect())
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in df.collect())
 
 
 #: form: (builder, end of a result's window, longest window)
@@ -132,3 +133,37 @@ def test_prefix_means_equal_the_recursion():
         assert np.allclose(prefix_means(x, alpha), want, rtol=1e-9, atol=1e-12)
         assert np.allclose(prefix_means(x[400:], alpha, want[399]), want[400:], rtol=1e-9, atol=1e-12)
     assert len(prefix_means(x[:0], 0.3)) == 0
+
+
+def test_daily_measures_of_a_stream_equal_the_batch_operator(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(6_000):
+        x = None if i % 11 == 0 else rnd.gauss(0.05, 0.4)
+        weight = None if i % 7 == 0 else float(i % 3 + 1)
+        source = None if i % 13 == 0 else f"s{rnd.randrange(700)}"
+        rows.append(("AB"[i % 2], START + dt.timedelta(seconds=rnd.randrange(3 * 86_400)), x, source, weight))
+    rows += [("C", START, None, "s", 1.0), ("D", START, 0.2, None, None)]  # no sentiment at all; one article
+    schema = "instrument string, ts timestamp, sentiment double, source string, importance double"
+    root = f"{tmp_path}/news"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(root)
+    batch = spark.read.parquet(root)
+    got = jobs.run_and_finish(
+        lambda df: jobs.daily_sentiment(df, late="4 days", source="source", importance="importance"),
+        jobs.read_files(spark, root, schema, files_per_trigger=1),
+        batch,
+        F.expr("CAST(date AS TIMESTAMP) + INTERVAL 1 DAY"),
+        "measures",
+        "1 DAY",
+    ).toPandas()
+    want = news.daily_sentiment(batch.withColumn("date", F.to_date("ts"))).toPandas()
+    by = ["instrument", "date"]
+    got, want = got.sort_values(by, ignore_index=True), want.sort_values(by, ignore_index=True)
+    assert got[by].equals(want[by]) and len(got) == 7
+    for c in set(want.columns) - {*by, "sentiment_median", "unique_sources"}:
+        assert np.allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True), c
+    assert (abs(got["unique_sources"] / want["unique_sources"].clip(lower=1) - 1)[want["unique_sources"] > 0] < 0.04).all()
+    for k, day, median in zip(got["instrument"], got["date"], got["sentiment_median"]):
+        values = sorted(r[2] for r in rows if r[0] == k and r[1].date() == day and r[2] is not None)
+        rank = sum(v <= median for v in values) / len(values)
+        assert len(values) == 1 or abs(rank - 0.5) < 0.02

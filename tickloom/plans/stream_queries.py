@@ -21,6 +21,8 @@ def _ticks(s, sf) -> DataFrame:
         F.col("value").alias("price"),
         F.col("user_id").alias("size"),
         F.sin("value").alias("sentiment"),
+        F.concat(F.lit("s"), (F.col("user_id") % 17).cast("string")).alias("source"),
+        F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 3 + 1).alias("importance"),
     )
 
 
@@ -52,7 +54,7 @@ def _bars(s, sf) -> DataFrame:
     return _finished(s, sf, lambda x: jobs.bars(x, "hourly"), F.col("bar_start") + F.expr("INTERVAL 1 HOUR"), "bars", "1 HOUR")
 
 
-_TK = "tk AS (SELECT event_id, event_type AS instrument, ts, value AS price, user_id AS size, sin(value) AS sentiment FROM events)"
+_TK = "tk AS (SELECT event_id, event_type AS instrument, ts, value AS price, user_id AS size, sin(value) AS sentiment, CASE WHEN event_id % 5 <> 0 THEN event_id % 3 + 1 END AS importance FROM events)"
 
 
 register(
@@ -77,14 +79,41 @@ register(
         {r('min(price)', 'low')}, {r('last(price ORDER BY ts, event_id)', 'close')}, CAST(sum(size) AS BIGINT) AS volume FROM tk GROUP BY 1, 2""",
     ),
 )
+# every measure that is exact; median and sources are sketches, see tests/test_streams.py
+_MEASURES = {
+    "sentiment_mean": "avg(sentiment)",
+    "sentiment_std": "coalesce(stddev_samp(sentiment), 0)",
+    "sentiment_min": "min(sentiment)",
+    "sentiment_max": "max(sentiment)",
+    "positive_pct": "count(*) FILTER (sentiment > 0.1) / count(sentiment)",
+    "negative_pct": "count(*) FILTER (sentiment < -0.1) / count(sentiment)",
+    "neutral_pct": "1 - count(*) FILTER (sentiment > 0.1) / count(sentiment) - count(*) FILTER (sentiment < -0.1) / count(sentiment)",
+    "sentiment_skew": "skewness(sentiment)",
+    "news_shock": "least(count(*) / 5.0, 2)",
+    "sentiment_recency_weighted": "sum(w * sentiment) / sum(w) FILTER (sentiment IS NOT NULL)",
+    "sentiment_volume_weighted": "sum(coalesce(importance, 1) * sentiment) / sum(coalesce(importance, 1)) FILTER (sentiment IS NOT NULL)",
+}
 register(
     "stream_daily_sentiment",
     "STR-3",
-    lambda s, sf: rounded(_finished(s, sf, jobs.daily_sentiment, F.col("date").cast("timestamp") + F.expr("INTERVAL 1 DAY"), "sentiment", "1 DAY")),
+    lambda s, sf: rounded(
+        _finished(
+            s,
+            sf,
+            lambda x: jobs.daily_sentiment(x, source="source", importance="importance"),
+            F.col("date").cast("timestamp") + F.expr("INTERVAL 1 DAY"),
+            "sentiment",
+            "1 DAY",
+        ).select("instrument", "date", "article_count", *_MEASURES),
+        6,
+    ),
     with_ctes(
-        [_TK],
-        f"""SELECT instrument, CAST(ts AS DATE) AS date, count(*) AS article_count, {r('avg(sentiment)', 'sentiment_mean')}, {r('coalesce(stddev_samp(sentiment), 0)', 'sentiment_std')},
-        {r('min(sentiment)', 'sentiment_min')}, {r('max(sentiment)', 'sentiment_max')} FROM tk GROUP BY 1, 2""",
+        [
+            _TK,
+            "wt AS (SELECT *, CAST(ts AS DATE) AS date, exp(-0.1 * (epoch_us(max(ts) OVER (PARTITION BY instrument, CAST(ts AS DATE))) - epoch_us(ts)) / 3.6e9) AS w FROM tk)",
+        ],
+        f"""SELECT instrument, date, count(*) AS article_count, {", ".join(r(e, c, 6) for c, e in _MEASURES.items())}
+        FROM wt GROUP BY 1, 2 HAVING count(sentiment) > 0""",
     ),
 )
 register(
