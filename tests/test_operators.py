@@ -217,3 +217,48 @@ def test_news_filter_keeps_first_copy(spark):
     rows = [(3, "u1", "x" * 60), (1, "u1", "x" * 60), (2, "u2", "y" * 10), (4, "u3", "z" * 6000)]
     df = spark.createDataFrame(rows, "article_id long, url string, content string").withColumns({"date": F.lit("d"), "instrument": F.lit("A")})
     assert [r.article_id for r in nw.filter_news(df).collect()] == [1]
+
+
+@pytest.mark.parametrize(("alpha", "scale"), [(0.0, True), (2.0, False), (2.0, True)])
+def test_rolling_backtest_with_several_features_equals_a_fit_per_row(spark, alpha, scale):
+    rng = np.random.default_rng(11)
+    rows, names = [], ["a", "b", "c"]
+    for key, size in (("long", 90), ("short", 20), ("one", 1)):
+        x = rng.normal(size=(size, 3)) * [1, 100, 1e-3] + [5, 1_000, 0]
+        x[: size // 2, 2] = 0.25  # constant in the first windows
+        y = x @ [1.0, 0.02, 300.0] + rng.normal(size=size)
+        rows += [(key, i, float(y[i]), *map(float, x[i])) for i in range(size)]
+    rows += [("long", 45, None, 1.0, 1.0, 1.0), (None, 1, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "instrument string, date int, y double, a double, b double, c double").repartition(5)
+    got = m.rolling_ridge_backtest(df, names, "y", (20, 30), alpha=alpha, scale=scale).collect()
+    assert len(got) == 70 + 60
+    series = np.array([r[2:] for r in rows if r[0] == "long" and r[2] is not None])
+    for g in got:
+        n, i = g["training_window"], g["date"]
+        past, now = series[i - n : i], series[i]
+        mean = past.mean(0)
+        z = past - mean
+        sd = z[:, 1:].std(0)
+        live = sd > 1e-12
+        unit = np.where(live, sd, 1.0) if scale else np.ones(3)
+        x = z[:, 1:][:, live] / unit[live]
+        beta = np.linalg.solve(x.T @ x + alpha * np.eye(live.sum()), x.T @ z[:, 0])
+        want = mean[0] + ((now[1:] - mean[1:])[live] / unit[live]) @ beta
+        assert g["instrument"] == "long" and g["last_level"] == series[i - 1, 0]
+        assert g["y_hat"] == pytest.approx(want, rel=1e-7, abs=1e-7)
+
+
+def test_rolling_backtest_fills_features_and_takes_an_empty_table(spark):
+    schema = "instrument string, date int, y double, a double, k0 string"
+    rows = [("A", i, float(i), None if i % 3 else float(i), "x") for i in range(12)]
+    df = spark.createDataFrame(rows, schema)
+    assert m.rolling_ridge_backtest(df, ["a"], "y", (5,), fill=0.0).count() == 7
+    assert m.rolling_ridge_backtest(df, ["a"], "y", (5,)).count() == 0
+    assert m.rolling_ridge_backtest(df.limit(0), ["a"], "y", (5,)).count() == 0
+
+
+def test_window_sums():
+    v = np.arange(23.0).reshape(23, 1) ** 2
+    for n in (1, 4, 22, 23, 30):
+        want = [v[i : i + n].sum(0) for i in range(23 - n + 1)] if n <= 23 else []
+        assert np.allclose(m.window_sums(v, n), np.array(want).reshape(-1, 1))

@@ -45,7 +45,7 @@ def test_stream_continues_from_its_state(spark, tmp_path):
         ).write.mode("append").parquet(src)
 
     put(rows[:2])
-    jobs.run_available(jobs.ewm(jobs.read_files(spark, src, schema), 3), "t", out, state)
+    jobs.run_ewm(jobs.read_files(spark, src, schema), 3, path=out, checkpoint=state)
     put(rows[2:])
-    got = jobs.run_available(jobs.ewm(jobs.read_files(spark, src, schema), 3), "t", out, state)
+    got = jobs.run_ewm(jobs.read_files(spark, src, schema), 3, path=out, checkpoint=state)
     assert [r.ewm for r in got.orderBy("bar_start").collect()] == [10.0, 15.0, 27.5]

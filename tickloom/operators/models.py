@@ -529,6 +529,108 @@ def rolling_backtest(df: DataFrame, x: str, y: str, windows: Sequence[int], keys
     return wide.select(*keys, order, F.col(y).alias("y"), "last_level", F.inline(entries)).where("y_hat IS NOT NULL")
 
 
+def window_sums(v: np.ndarray, n: int) -> np.ndarray:
+    """Sums of every ``n`` consecutive rows of ``v``.
+
+    Rows are cut into blocks of ``n``: a window is the end of one block and the start of the next. Only sums, no differences, so nothing
+    cancels, and the work does not depend on ``n``.
+    """
+    rows, tail = len(v), v.shape[1:]
+    if rows < n:
+        return np.empty((0, *tail))
+    blocks = np.zeros((-(-rows // n) * n, *tail))
+    blocks[:rows] = v
+    blocks = blocks.reshape(-1, n, *tail)
+    ahead = np.cumsum(blocks, axis=1).reshape(-1, *tail)
+    behind = np.cumsum(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1, *tail)
+    first = np.arange(rows - n + 1)
+    inner = (first % n != 0).astype(float).reshape(-1, *[1] * len(tail))
+    return behind[first] + inner * ahead[first + n - 1]
+
+
+def _rolling_fits(x: np.ndarray, y: np.ndarray, n: int, alpha: float, scale: bool) -> np.ndarray:
+    """Prediction of rows n, n + 1, ... from the n rows before each, by ridge with an unpenalised intercept."""
+    k = x.shape[1]
+    centre = np.append(x.mean(0), y.mean())
+    z = np.column_stack([x, y]) - centre  # near zero, so that products of means do not cancel
+    total = window_sums(z, n)[:-1]
+    cross = window_sums(z[:, :, None] * z[:, None, :], n)[:-1]
+    mean = total / n
+    size = np.sqrt(np.diagonal(cross, axis1=1, axis2=2)[:, :k] / n)
+    cross = cross - n * mean[:, :, None] * mean[:, None, :]
+    sd = np.sqrt(np.maximum(np.diagonal(cross, axis1=1, axis2=2)[:, :k], 0.0) / n)
+    # a spread below 1e-6 of the values is rounding: the feature is constant in this window
+    live = sd > 1e-6 * size
+    sd = np.where(live, sd, 1.0)
+    left = np.where(live[:, :, None] & live[:, None, :], cross[:, :k, :k] / (sd[:, :, None] * sd[:, None, :]), 0.0)
+    right = np.where(live, cross[:, :k, k] / sd, 0.0)[:, :, None]
+    if alpha > 0:
+        left[:, np.arange(k), np.arange(k)] += alpha if scale else alpha / (sd * sd)
+        beta = np.linalg.solve(left, right)[:, :, 0] / sd
+    else:  # the pseudo-inverse leaves out what is constant or repeats other features
+        beta = (np.linalg.pinv(left, rcond=1e-10, hermitian=True) @ right)[:, :, 0] / sd
+    return centre[k] + mean[:, k] + (beta * (z[n:, :k] - mean[:, :k])).sum(1)
+
+
+def rolling_ridge_backtest(
+    df: DataFrame,
+    features: Sequence[str],
+    y: str,
+    windows: Sequence[int],
+    keys=KEYS,
+    order=ORDER,
+    alpha: float = 0.0,
+    scale: bool = True,
+    fill: float | None = None,
+    model: str = "ridge",
+) -> DataFrame:
+    """Next-row predictions from the previous n rows with any number of features, for all window sizes in one pass over a series.
+
+    Columns as ``rolling_backtest``: row t is predicted by a ridge (``alpha`` 0: least squares) on rows t-n .. t-1, so ``y`` of a row must be known by
+    the next one. Rows without ``y`` are left out, and rows without a feature too unless ``fill`` replaces it. A series of n rows or fewer gives no
+    prediction for that window. A task holds one series, which the calendar bounds; pass (key, block) of ``functions.blocks`` for longer ones.
+    Rows of one key with equal ``order`` are taken by ascending ``y``, then by the features.
+    """
+    inner = [f"x{i}" for i in range(len(features))]
+    values = [F.col(c).cast("double") for c in features]
+    if fill is not None:
+        values = [F.coalesce(v, F.lit(float(fill))) for v in values]
+    rows = df.select(
+        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+        F.col(order).alias("at"),
+        F.col(y).cast("double").alias("y"),
+        *[v.alias(c) for v, c in zip(values, inner)],
+    ).dropna("any", subset=["y", *inner])
+    group = [f"k{i}" for i in range(len(keys))]
+    types = rows.schema
+    schema = ", ".join(f"{c} {types[c].dataType.simpleString()}" for c in [*group, "at"])
+    sizes = [int(n) for n in windows]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["at", "y", *inner], ignore_index=True)
+        x, target = pdf[inner].to_numpy(float), pdf["y"].to_numpy(float)
+        parts = [pd.DataFrame({**{c: pdf[c][:0] for c in [*group, "at"]}, "y": [], "last_level": [], "training_window": [], "y_hat": []})]
+        for n in sizes:
+            if len(pdf) > n:
+                part = pdf.loc[n:, [*group, "at", "y"]].copy()
+                part["last_level"] = target[n - 1 : -1]
+                part["training_window"] = n
+                part["y_hat"] = _rolling_fits(x, target, n, alpha, scale)
+                parts.append(part)
+        return pd.concat(parts[1:] or parts, ignore_index=True)
+
+    out = rows.groupBy(*group).applyInPandas(run, f"{schema}, y double, last_level double, training_window int, y_hat double")
+    return out.select(
+        *[F.col(g).alias(k) for g, k in zip(group, keys)],
+        F.col("at").alias(order),
+        "y",
+        "last_level",
+        "training_window",
+        F.lit(model).alias("model"),
+        "y_hat",
+    )
+
+
 def row_metrics(pred: DataFrame) -> DataFrame:
     """Per prediction: squared and absolute error, percent errors, direction, as long rows."""
     e = F.col("y") - F.col("y_hat")

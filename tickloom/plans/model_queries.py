@@ -171,6 +171,35 @@ register(
     lambda s, sf: rounded(_backtest(s, sf).select("instrument", "date", "training_window", "model", "y_hat"), 6),
     with_ctes(_B, f"SELECT instrument, date, training_window, model, {r('y_hat', 'y_hat', 6)} FROM bt"),
 )
+
+def _backtest_two(s, sf):
+    b = t.returns(v.bars(s, sf)).withColumns({"x": F.log("volume"), "z": F.log(F.col("high") / F.col("low")), "level": F.log("close")})
+    return m.rolling_ridge_backtest(b, ["x", "z"], "level", _WIN)
+
+
+def _two_sql():
+    """Least squares on two features by the normal equations; windows where these are close to singular are left to the pseudo-inverse."""
+    one = """SELECT instrument, date, {n} AS training_window, count(*) OVER w AS c, x, z, avg(x) OVER w AS mx, avg(z) OVER w AS mz, avg(y) OVER w AS my,
+      var_pop(x) OVER w AS sxx, var_pop(z) OVER w AS szz, covar_pop(x, z) OVER w AS sxz, covar_pop(x, y) OVER w AS sxy, covar_pop(z, y) OVER w AS szy
+      FROM bz WINDOW w AS (PARTITION BY instrument ORDER BY date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"""
+    parts = " UNION ALL ".join(one.format(n=n) for n in _WIN)
+    return [
+        v.bars_sql(),
+        "bz AS (SELECT instrument, date, ln(close) AS y, ln(volume) AS x, ln(high / low) AS z FROM bars)",
+        f"tw AS (SELECT * FROM ({parts}) WHERE c = training_window)",
+    ]
+
+
+register(
+    "rolling_backtest_features",
+    "ML-19",
+    lambda s, sf: rounded(_backtest_two(s, sf).select("instrument", "date", "training_window", "model", "y_hat"), 5),
+    with_ctes(
+        _two_sql(),
+        f"""SELECT instrument, date, training_window, 'ridge' AS model,
+        {r('my + (szz * sxy - sxz * szy) / (sxx * szz - sxz * sxz) * (x - mx) + (sxx * szy - sxz * sxy) / (sxx * szz - sxz * sxz) * (z - mz)', 'y_hat', 5)} FROM tw""",
+    ),
+)
 register(
     "regression_metrics",
     "ML-13",
