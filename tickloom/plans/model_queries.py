@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.operators import model_store as store
 from tickloom.operators import models as m
 from tickloom.operators import season as z
 from tickloom.operators import targets as tg
 from tickloom.operators import technical as t
 from tickloom.plans import views as v
 from tickloom.plans.registry import query, r, register, rounded, with_ctes
+from tickloom.session import scratch
 
 _W = "PARTITION BY instrument ORDER BY date"
 _RET = f"ret AS (SELECT *, ln(close_adj / lag(close_adj) OVER ({_W})) AS log_return FROM bars)"
@@ -99,6 +101,27 @@ def _fit(alpha):
 register("linear_fit", "ML-6", _fit(0.0), with_ctes([*_BASE, _SUMS, _ridge_sql(0.0)], _FIT_SQL))
 register("ridge_fit", "ML-7", _fit(1.0), with_ctes([*_BASE, _SUMS, _ridge_sql(1.0)], _FIT_SQL))
 
+
+def _saved(s, sf):
+    """Fitted, saved, loaded by name and applied; the prediction comes from the files."""
+    data, folder = _data(s, sf), scratch(s, "models")
+    fitted = store.create("grouped_ridge", features=_X, target="y", alpha=1.0).fit(data)
+    store.save_model(fitted, folder, "grouped_ridge", "next_week")
+    out = store.load_model(s, folder, "grouped_ridge", "next_week").transform(data)
+    return rounded(out.where("prediction IS NOT NULL").select("instrument", "date", "prediction"), 5)
+
+
+register(
+    "saved_model_predictions",
+    "UDF-2",
+    _saved,
+    with_ctes(
+        [*_BASE, _SUMS, _ridge_sql(1.0)],
+        f"""SELECT instrument, date, {r('my + b1 * (return_5d - m1) + b2 * (vol_cc_20d - m2)', 'prediction', 5)}
+        FROM mf JOIN bt USING (instrument) WHERE n >= 3 AND return_5d IS NOT NULL AND vol_cc_20d IS NOT NULL""",
+    ),
+)
+
 _FOLD = """
 nb AS (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY instrument) AS cnt FROM md),
 fd AS (SELECT *, CAST(greatest(0, floor((i - (cnt - 5 * (cnt // 6))) / (cnt // 6)) + 1) AS INTEGER) AS fold FROM nb),
