@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators import technical as t
+from tickloom.operators.peers import MOMENTUM_WINDOWS
 from tickloom.plans import stages as st
 from tickloom.plans import views as v
 from tickloom.plans.registry import r, register, rounded, with_ctes
@@ -71,14 +72,13 @@ def _peer_chain(s, sf):
         ["relationships", "target_features", "news_sentiment", "training"],
         {
             "relationships": {"min_abs": 0.1},
-            "target_features": {"min_abs": 0.1, "momentum": (5,)},
+            "target_features": {"min_abs": 0.1},
             "news_sentiment": {"news": news},
             "training": {"features": ["log_return", "volume"], "label": "next_return"},
         },
     )
-    return rounded(
-        out.select("instrument", "date", "n_peers", "peer_correlation", "avg_peer_momentum_5d", "momentum_vs_peers_5d", "sentiment_mean", "prediction"), 5
-    )
+    gaps = [f"{c}_{n}d" for n in MOMENTUM_WINDOWS for c in ("avg_peer_momentum", "momentum_vs_peers")]
+    return rounded(out.select("instrument", "date", "n_peers", "peer_correlation", *gaps, "sentiment_mean", "prediction"), 5)
 
 
 register("peer_stage_chain", "UDF-1", _peer_chain)
