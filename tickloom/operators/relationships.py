@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import pairs as pr
 from tickloom.operators.select import top_per_key
-from tickloom.session import ensure_checkpoints
+from tickloom.session import materialise, round_tables
 
 CORRELATION_WINDOWS = (30, 60, 90, 126)
 MIN_CORRELATION, MAX_PEERS = 0.4, 10
@@ -314,54 +314,87 @@ def distance_clusters(nodes: DataFrame, edges: DataFrame, limit: float = 0.7, ma
     """Connected components of edges with distance <= limit (a single-linkage cut).
 
     Each round takes the smallest label among the neighbours, then follows the label's own
-    label; the label table is checkpointed, so lost executors do not restart the loop.
+    label; the label table of every round is stored, so lost executors do not restart the loop.
     """
-    ensure_checkpoints(nodes.sparkSession)
-    near = both_ways(edges.where(F.col("distance") <= limit)).checkpoint()
-    labels = nodes.select(F.col("instrument").alias("node"), F.col("instrument").alias("label")).distinct()
-    for _ in range(max_rounds):
-        seen = near.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("label").alias("_l"))
-        step = labels.join(seen.withColumnRenamed("src", "node"), "node", "left").select(
-            "node", F.col("label").alias("_old"), F.least("label", "_l").alias("label")
-        )
-        hop = step.select(F.col("node").alias("label"), F.col("label").alias("_far"))
-        nxt = step.join(hop, "label").select("node", "_old", F.least("label", "_far").alias("label")).checkpoint()
-        moved = nxt.where(F.col("_old") != F.col("label")).limit(1).count()
-        labels = nxt.select("node", "label")
-        if moved == 0:
-            break
-    else:
-        raise RuntimeError("components did not settle; raise max_rounds")
-    return labels.select(F.col("node").alias("instrument"), F.col("label").alias("cluster"))
-
-
-def fixed_clusters(edges: DataFrame, k: int = 8, anchors: int = 64, seed: int = 7) -> DataFrame:
-    """``k`` clusters by bisecting k-means; an instrument's coordinates are its correlations to the anchors.
-
-    Anchors are the ``anchors`` instruments of least hash, so a feature vector stays bounded for any number of
-    instruments and every coordinate is one correlation (1 to itself, 0 without an edge).
+    with round_tables(nodes.sparkSession) as keep:
+        near = keep(both_ways(edges.where(F.col("distance") <= limit)))
+        labels = keep(nodes.select(F.col("instrument").alias("node"), F.col("instrument").alias("label")).distinct())
+        for _ in range(max_rounds):
+            seen = near.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("label").alias("_l"))
+            step = labels.join(seen.withColumnRenamed("src", "node"), "node", "left").select(
+                "node", F.col("label").alias("_old"), F.least("label", "_l").alias("label")
+            )
+            hop = step.select(F.col("node").alias("label"), F.col("label").alias("_far"))
+            nxt = keep(step.join(hop, "label").select("node", "_old", F.least("label", "_far").alias("label")))
+            labels = nxt.select("node", "label")
+            if nxt.where(F.col("_old") != F.col("label")).isEmpty():
+                break
+        else:
+            raise RuntimeError("components did not settle; raise max_rounds")
+        return materialise(labels.select(F.col("node").alias("instrument"), F.col("label").alias("cluster")), "clusters")
+
+
+def spanning_tree(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(instrument_i, instrument_j, distance): the minimum spanning forest of the edges, by Borůvka's rounds.
+
+    Edges are ordered by (distance, instrument_i, instrument_j) with the ends in order, so the forest is one and the same at ties and for
+    any layout; distances that are null or NaN and loops are left out, of repeated edges the shortest counts. Each round every component
+    takes its least edge to another one, chains of choices are followed by doubling, and edges between the same two components shrink to
+    the least one. Components at least halve, so the rounds grow with the logarithm of the instruments; every table of a round is stored.
     """
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.functions import array_to_vector
-
-    pairs = both_ways(edges, "rho")
-    nodes = pairs.select(F.col("src").alias("dst")).distinct()
-    marks = nodes.orderBy(F.xxhash64("dst"), "dst").limit(anchors)
-    places = Window.orderBy(F.xxhash64("dst"), "dst")  # of the few anchors only
-    marks = marks.withColumn("_c", F.row_number().over(places) - 1)
-    own = marks.select(F.col("dst").alias("src"), "dst", F.lit(1.0).alias("rho"))
-    met = pairs.select("src", "dst", "rho").unionByName(own).join(F.broadcast(marks), "dst")
-    at = F.map_from_entries(F.collect_list(F.struct("_c", "rho")))
-    known = met.groupBy("src").agg(at.alias("_m"))
-    every = nodes.withColumnRenamed("dst", "src").join(known, "src", "left")
-    rows = every.select(
-        F.col("src").alias("instrument"),
-        array_to_vector(
-            F.transform(F.sequence(F.lit(0), F.lit(anchors - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
-        ).alias("features"),
+    ends = edges.where(F.col("distance").isNotNull() & ~F.isnan("distance")).select(
+        F.least("instrument_i", "instrument_j").alias("a"), F.greatest("instrument_i", "instrument_j").alias("b"), "distance"
+    )
+    edge = F.struct(F.col("distance"), F.col("a").alias("i"), F.col("b").alias("j"))
+    ways = F.array(
+        F.struct(F.col("a").alias("c"), F.col("b").alias("other")), F.struct(F.col("b").alias("c"), F.col("a").alias("other"))
     )
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(rows)
-    return model.transform(rows).select("instrument", "cluster")
+    with round_tables(edges.sparkSession) as keep:
+        alive = keep(ends.where("a < b").groupBy("a", "b").agg(F.min(edge).alias("edge")))
+        tree = alive.select("edge").limit(0)
+        for _ in range(max_rounds):
+            least = F.min(F.struct("edge", "other")).alias("least")
+            best = keep(alive.select("edge", F.inline(ways)).groupBy("c").agg(least).select("c", "least.*"))
+            if best.isEmpty():
+                break
+            tree = tree.unionByName(best.select("edge").distinct())
+            # where two components choose the same edge, the smaller one is the root of their tree
+            back = best.select(F.col("c").alias("other"), F.col("edge").alias("_back"))
+            root = (F.col("edge") == F.col("_back")) & (F.col("c") < F.col("other"))
+            parents = keep(best.join(back, "other").select("c", F.when(root, F.col("c")).otherwise(F.col("other")).alias("p")))
+            while True:
+                far = parents.toDF("p", "_far")
+                step = keep(parents.join(far, "p").select("c", F.col("p").alias("_old"), F.col("_far").alias("p")))
+                parents = step.select("c", "p")
+                if step.where(F.col("_old") != F.col("p")).isEmpty():
+                    break
+            left, right = parents.toDF("a", "_a"), parents.toDF("b", "_b")
+            moved = alive.join(left, "a").join(right, "b").where(F.col("_a") != F.col("_b"))
+            merged = moved.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+            alive = keep(merged.agg(F.min("edge").alias("edge")))
+        else:
+            raise RuntimeError("components did not settle; raise max_rounds")
+        named = tree.select(F.col("edge.i").alias("instrument_i"), F.col("edge.j").alias("instrument_j"), "edge.distance")
+        return materialise(named, "tree")
+
+
+def cut_tree(nodes: DataFrame, tree: DataFrame, k: int) -> DataFrame:
+    """(instrument, cluster): the single-linkage hierarchy of a spanning tree, cut into ``k`` clusters named by their smallest instrument.
+
+    The edges of the tree in ascending order are the merges, so the cut undoes the heaviest ones. Instruments without an edge are clusters
+    of their own. With more than ``k`` parts to begin with there are that many clusters, and with fewer instruments than ``k`` one for each.
+    """
+    parts = nodes.agg(F.count_distinct("instrument")).first()[0] - tree.count()
+    if k > parts:
+        ends = ["instrument_i", "instrument_j"]
+        heaviest = tree.orderBy(F.desc("distance"), *[F.desc(c) for c in ends]).limit(k - parts)  # fewer than k rows
+        tree = tree.join(heaviest.select(*ends), ends, "left_anti")
+    return distance_clusters(nodes, tree, math.inf)
+
+
+def fixed_clusters(nodes: DataFrame, edges: DataFrame, k: int = 8) -> DataFrame:
+    """``k`` single-linkage clusters of all edges, see ``cut_tree``; every distance counts, no instrument stands for others."""
+    return cut_tree(nodes, spanning_tree(edges), k)
 
 
 def peer_map(

@@ -225,7 +225,38 @@ register(
     lambda s, sf: _clusters(s, sf, _spearman(s, sf)),
     with_ctes([*_SP, _CC], "SELECT instrument, cluster FROM cl", recursive=True),
 )
-register("fixed_clusters", "STAT-12", lambda s, sf: rel.fixed_clusters(_spearman(s, sf)))
+
+
+def _tree_edges(s, sf):
+    """Distances rounded as in the SQL, so that both sides order equal distances alike."""
+    return rounded(rel.distances(_spearman(s, sf)).select("instrument_i", "instrument_j", "distance"))
+
+
+# An edge is in the tree if no way between its ends has only lesser edges.
+_TREE = f"""
+de AS (SELECT instrument_i, instrument_j, {r('sqrt(greatest(0, 2 * (1 - rho)))', 'distance')} FROM ed WHERE rho IS NOT NULL),
+od AS (SELECT *, row_number() OVER (ORDER BY distance, instrument_i, instrument_j) AS place FROM de WHERE distance IS NOT NULL),
+dir2 AS (SELECT instrument_i AS a, instrument_j AS b, place FROM od UNION ALL SELECT instrument_j, instrument_i, place FROM od),
+ways(a, b, worst) AS (SELECT a, b, place FROM dir2 UNION SELECT w.a, d.b, greatest(w.worst, d.place) FROM ways w JOIN dir2 d ON w.b = d.a WHERE w.a <> d.b),
+tree AS (SELECT od.* FROM od JOIN (SELECT a, b, min(worst) AS worst FROM ways GROUP BY 1, 2) m ON m.a = instrument_i AND m.b = instrument_j AND m.worst = place)"""
+_FIXED = """
+nd AS (SELECT DISTINCT instrument FROM bars),
+heavy AS (SELECT *, row_number() OVER (ORDER BY place DESC) AS h FROM tree),
+kept AS (SELECT instrument_i AS a, instrument_j AS b FROM heavy WHERE h > 8 - ((SELECT count(*) FROM nd) - (SELECT count(*) FROM tree))),
+kd AS (SELECT a, b FROM kept UNION ALL SELECT b, a FROM kept),
+inside(a, b) AS (SELECT instrument, instrument FROM nd UNION SELECT r.a, n.b FROM inside r JOIN kd n ON r.b = n.a)"""
+register(
+    "spanning_tree",
+    "STAT-12",
+    lambda s, sf: rel.spanning_tree(_tree_edges(s, sf)),
+    with_ctes([*_SP, _TREE], "SELECT instrument_i, instrument_j, distance FROM tree", recursive=True),
+)
+register(
+    "fixed_clusters",
+    "STAT-12",
+    lambda s, sf: rel.fixed_clusters(v.bars(s, sf, "brand", "week"), _tree_edges(s, sf), 8),
+    with_ctes([*_SP, _TREE, _FIXED], "SELECT a AS instrument, min(b) AS cluster FROM inside GROUP BY 1", recursive=True),
+)
 _PEER = """
 dir AS (SELECT instrument_i AS a, instrument_j AS b, rho FROM ed WHERE abs(rho) >= 0.1 UNION ALL SELECT instrument_j, instrument_i, rho FROM ed WHERE abs(rho) >= 0.1),
 top AS (SELECT a AS instrument, b AS peer, row_number() OVER (PARTITION BY a ORDER BY abs(rho) DESC, b) AS rank, rho FROM dir QUALIFY row_number() OVER (PARTITION BY a ORDER BY abs(rho) DESC, b) <= 10)"""

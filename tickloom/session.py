@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +64,25 @@ def materialise(df, name: str):
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def round_tables(spark: SparkSession):
+    """A function that stores the tables of a loop as ``materialise`` does; they are deleted at the end of the block.
+
+    Stored tables also keep size estimates honest: those of a checkpoint are multiplied by every later self-join.
+    """
+    paths: list[str] = []
+
+    def keep(df):
+        paths.append(scratch(spark, "round"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
