@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date as Date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tickloom.plans import views as v
 from tickloom.plans.registry import query, r, register, rounded, with_ctes
 from tickloom.session import scratch
 from tickloom.sources import filters as fl
+from tickloom.sources import schemas as sc
 from tickloom.sources import sinks
 from tickloom.sources.lake import Lake
 
@@ -27,51 +30,63 @@ def _stored(spark: SparkSession, sf: str, part: str, write) -> str:
     return _LAKES[key]
 
 
-def _market(spark, sf) -> Lake:
-    def write(root):
-        b = v.bars(spark, sf).select(
-            F.lit("daily").alias("interval"),
-            F.col("instrument").alias("symbol"),
-            F.col("date").cast("timestamp").alias("date"),
-            "open",
-            "high",
-            "low",
-            "close",
-            "volume",
-            (F.col("close") * 2).alias("sma_20"),
-            (F.col("high") - F.col("low")).alias("vwap"),
-        )
-        e = v.table(spark, sf, "events")
-        order = v.event_order()
-        hourly = (
-            e.groupBy(F.col("event_type").alias("symbol"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("date"))
-            .agg(
-                F.min_by("value", order).alias("open"),
-                F.max("value").alias("high"),
-                F.min("value").alias("low"),
-                F.max_by("value", order).alias("close"),
-                F.count(F.lit(1)).alias("volume"),
-            )
-            .withColumns({"interval": F.lit("hourly"), "sma_20": F.lit(None).cast("double"), "vwap": F.lit(None).cast("double")})
+def _write_market(spark, sf, root):
+    b = v.bars(spark, sf).select(
+        F.lit("daily").alias("interval"),
+        F.col("instrument").alias("symbol"),
+        F.col("date").cast("timestamp").alias("date"),
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+        (F.col("close") * 2).alias("sma_20"),
+        (F.col("high") - F.col("low")).alias("vwap"),
+    )
+    e = v.table(spark, sf, "events")
+    order = v.event_order()
+    hourly = (
+        e.groupBy(F.col("event_type").alias("symbol"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("date"))
+        .agg(
+            F.min_by("value", order).alias("open"),
+            F.max("value").alias("high"),
+            F.min("value").alias("low"),
+            F.max_by("value", order).alias("close"),
+            F.count(F.lit(1)).alias("volume"),
         )
-        sinks.write_bars(b.unionByName(hourly), f"{root}/market_data")
+        .withColumns({"interval": F.lit("hourly"), "sma_20": F.lit(None).cast("double"), "vwap": F.lit(None).cast("double")})
+    )
+    sinks.write_bars(b.unionByName(hourly), f"{root}/market_data")
+
+
+def _write_economic(spark, sf, root):
+    e = v.econ(spark, sf).select(
+        "symbol",
+        F.col("date").cast("timestamp").alias("date"),
+        "value",
+        F.when(F.col("symbol") < "3", "rates").otherwise("growth").alias("category"),
+        F.when(F.col("symbol") < "2", "high").otherwise("low").alias("importance"),
+        F.lit("daily").alias("frequency"),
+    )
+    sinks.write_bars(e, f"{root}/economic_data")
 
-    return Lake(spark, _stored(spark, sf, "market", write))
+
+def _market(spark, sf) -> Lake:
+    return Lake(spark, _stored(spark, sf, "market", lambda root: _write_market(spark, sf, root)))
 
 
 def _economic(spark, sf) -> Lake:
+    return Lake(spark, _stored(spark, sf, "economic", lambda root: _write_economic(spark, sf, root)))
+
+
+def _both(spark, sf) -> Lake:
+    """Bars and economic series under one root."""
+
     def write(root):
-        e = v.econ(spark, sf).select(
-            "symbol",
-            F.col("date").cast("timestamp").alias("date"),
-            "value",
-            F.when(F.col("symbol") < "3", "rates").otherwise("growth").alias("category"),
-            F.when(F.col("symbol") < "2", "high").otherwise("low").alias("importance"),
-            F.lit("daily").alias("frequency"),
-        )
-        sinks.write_bars(e, f"{root}/economic_data")
+        _write_market(spark, sf, root)
+        _write_economic(spark, sf, root)
 
-    return Lake(spark, _stored(spark, sf, "economic", write))
+    return Lake(spark, _stored(spark, sf, "both", write))
 
 
 def _news(spark, sf) -> Lake:
@@ -279,23 +294,17 @@ register(
 )
 def _multi(s, sf):
     """Two stored data types in one query: union, filter, sort, offset, limit."""
-    root = _market(s, sf).root
-    econ = _economic(s, sf).root
+    market = fl.DataTypeFilter("market_data", "daily", min_volume=100, include_indicators=())
     q = fl.QueryFilter(
         date_range=fl.DateRange("1998-01-01", "2000-06-30"),
         instruments=fl.InstrumentFilter(exclude_symbols=["LARGE"]),
-        data_types=(fl.DataTypeFilter("market_data", "daily", min_volume=100, include_indicators=()),),
+        data_types=(market, fl.DataTypeFilter("economic_data")),
         sort_by="date",
         sort_order="desc",
         limit=200,
         offset=10,
     )
-    market, economic = Lake(s, root), Lake(s, econ)
-    both = market._one(q.data_types[0]).unionByName(
-        economic._one(fl.DataTypeFilter("economic_data")), allowMissingColumns=True
-    )
-    both = both.where(q.instruments.predicate(F.col("symbol"))).where(q.date_range.predicate(F.col("date")))
-    page = fl.sort_page(both, q)
+    page = _both(s, sf).query(q)
     return rounded(page.select("symbol", F.col("date").cast("date").alias("date"), "close", F.round("value", 2).alias("value")), 8)
 
 
@@ -322,6 +331,36 @@ def _corrupt(s, sf):
     return lake.get_earnings_data().groupBy("symbol", "event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "skipped_files",
+    "SRC-10",
+    with_ctes(
+        [v.EVENT_DAYS_SQL, v.ECON_SQL],
+        """SELECT 'economic_data' AS folder, 'no rows' AS reason, 1::BIGINT AS n_files, 0::BIGINT AS n_records, 0::BIGINT AS n_broken
+        UNION ALL SELECT 'earnings_data', 'no record parses', 1, count(*), count(*) FROM ev WHERE event_type = 'click'
+        UNION ALL SELECT 'earnings_data', 'broken records', 1, count(*), count(*) FILTER (WHERE value < 5) FROM ev WHERE event_type = 'signup'""",
+    ),
+)
+def _skipped(s, sf):
+    """A parquet folder with one file that is no parquet; JSON files with some and with only broken records. Good files are not listed."""
+
+    def write(root):
+        _write_economic(s, sf, root)
+        text = v.event_days(s, sf).select("event_type", "value", F.concat(F.lit('{"symbol": "'), "instrument").alias("cut"))
+        one = text.where("event_type = 'click'").select(F.col("cut").alias("value")).coalesce(1)
+        one.write.text(f"{root}/economic_data/symbol=broken")
+        one.write.text(f"{root}/earnings_data/click")
+        for kind, most in (("signup", 5), ("purchase", 0)):
+            record = F.when(F.col("value") < most, F.col("cut")).otherwise(F.concat("cut", F.lit('"}')))
+            text.where(F.col("event_type") == kind).select(record.alias("value")).coalesce(1).write.text(f"{root}/earnings_data/{kind}")
+
+    lake = Lake(s, _stored(s, sf, "skipped", write))
+    out = lake.skipped_parquet("economic_data", sc.ECONOMIC).withColumn("folder", F.lit("economic_data"))
+    out = out.unionByName(lake.skipped_json("earnings_data", sc.EARNINGS).withColumn("folder", F.lit("earnings_data")))
+    sums = [F.sum(c).alias(c) for c in ("n_records", "n_broken")]
+    return out.groupBy("folder", "reason").agg(F.count(F.lit(1)).alias("n_files"), *sums)
+
+
 register(
     "available_symbols",
     "SRC-11",
@@ -393,6 +432,24 @@ def _upsert(s, sf):
     return sinks.upsert_news(stored, incoming.unionByName(incoming), F.lit("2024-01-30").cast("date"), 20)
 
 
+@query(
+    "news_store_upsert",
+    "SNK-3 JOIN-15",
+    with_ctes(
+        [v.ARTICLES_SQL],
+        "SELECT article_id, date, source FROM articles WHERE date >= DATE '2024-01-30' - 20",
+    ),
+)
+def _store_upsert(s, sf):
+    """A store of the labelled articles takes every article, twice, ten days later; its first days go."""
+    a = v.articles(s, sf)
+    cols = ["article_id", "date", "source"]
+    path = scratch(s, "news-store")
+    sinks.upsert_news_store(a.where("sentiment IS NOT NULL").select(*cols), path, Date(2024, 1, 20), 20)
+    every = a.select(*cols)
+    return sinks.upsert_news_store(every.unionByName(every), path, Date(2024, 1, 30), 20)
+
+
 # ---- predicates ------------------------------------------------------------------------------
 
 register(

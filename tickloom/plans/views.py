@@ -23,14 +23,20 @@ _FINE = "l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity"
 
 
 def line_order() -> Column:
-    """Order of raw lines (order, line, part, price in cents, quantity) as one number of fixed width.
+    """Order of raw lines (order, line, part, price in cents, quantity in hundredths) as one number of 38 digits.
 
-    ``min_by`` over a struct has no fixed-width buffer and would sort every raw line; over a number it is hashed.
+    ``min_by`` over a struct has no fixed-width buffer and would sort every raw line; over a number it is hashed. The digits (12, 2, 11, 9
+    and 4) hold every key, price and quantity up to scale factor 100,000; a value that does not fit stops the query instead of changing the order.
     """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    high = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).cast("decimal(17,0)")
-    low = (F.col("l_partkey") * 1_000_000_000 + cents).cast("decimal(18,0)")
-    return high * F.lit(Decimal(10**21)) + (low * F.lit(Decimal(1000)) + F.col("l_quantity").cast("decimal(3,0)"))
+    def held(name: str, digits: int, times: int = 1) -> Column:
+        value = F.round(F.col(name) * times).cast("long") if times > 1 else F.col(name).cast("long")
+        refuse = F.raise_error(F.concat(F.lit(f"{name} too large to order: "), F.col(name).cast("string")))
+        return F.when(value.between(0, 10**digits - 1) | value.isNull(), value).otherwise(refuse)
+
+    high = held("l_orderkey", 12) * 100 + held("l_linenumber", 2)
+    low = held("l_extendedprice", 9, 100) * 10_000 + held("l_quantity", 4, 100)
+    upper = high.cast("decimal(14,0)") * F.lit(Decimal(10**11)) + held("l_partkey", 11).cast("decimal(11,0)")
+    return upper.cast("decimal(25,0)") * F.lit(Decimal(10**13)) + low.cast("decimal(13,0)")
 
 
 def event_order(time: str = "ts", tie: str = "event_id") -> Column:

@@ -74,8 +74,7 @@ class Lake:
 
     # ---- json ----
 
-    def _json(self, folder: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:
-        """Records of every file; rows that do not parse are dropped, the rest is kept."""
+    def _raw_json(self, folder: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:
         reader = (
             self.spark.read.schema(sc.with_corrupt(schema))
             .option("mode", "PERMISSIVE")
@@ -86,8 +85,11 @@ class Lake:
         )
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
-        df = reader.json(f"{self.root}/{folder}")
-        return df.where(F.col(sc.CORRUPT).isNull()).drop(sc.CORRUPT)
+        return reader.json(f"{self.root}/{folder}")
+
+    def _json(self, folder: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:
+        """Records of every file; rows that do not parse are dropped, the rest is kept. ``skipped_json`` counts them."""
+        return self._raw_json(folder, schema, pattern).where(F.col(sc.CORRUPT).isNull()).drop(sc.CORRUPT)
 
     def get_news_data(
         self,
@@ -221,6 +223,43 @@ class Lake:
         }[f.data_type]
         return get().withColumn("date", F.col("event_date").cast("timestamp")).drop("event_date")
 
+    # ---- what a scan leaves out ----
+
+    def skipped_parquet(self, folder: str, schema: T.StructType) -> DataFrame:
+        """(path, length, n_records, n_broken, n_unkeyed, reason): parquet files that a scan of ``folder`` leaves out.
+
+        The files that give rows are counted from their footers, without a column; the others of the listing are ``no rows``: the footer
+        is broken, or the file was written without rows. Files without any byte hold nothing and are not listed.
+        """
+        reader = self.spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+        read = reader.schema(schema).parquet(f"{self.root}/{folder}").groupBy(F.col("_metadata.file_path").alias("_at")).count()
+        none = F.lit(0).cast("bigint")
+        return self._left_out(folder, read.select("_at", F.col("count").alias("n_records"), none.alias("n_broken"), none.alias("n_unkeyed")))
+
+    def skipped_json(self, folder: str, schema: T.StructType) -> DataFrame:
+        """As ``skipped_parquet`` for JSON files, with those of which some records are left out or lack the key, the first column of ``schema``.
+
+        Records that are not JSON count as broken, whatever the other columns hold.
+        """
+        key, torn = F.col(schema.fieldNames()[0]), F.col(sc.CORRUPT).isNotNull()
+        records = self._raw_json(folder, schema).select(F.col("_metadata.file_path").alias("_at"), torn.alias("torn"), key.isNull().alias("bare"))
+        counts = (F.count_if("torn").alias("n_broken"), F.count_if(F.col("bare") & ~F.col("torn")).alias("n_unkeyed"))
+        return self._left_out(folder, records.groupBy("_at").agg(F.count(F.lit(1)).alias("n_records"), *counts))
+
+    def _left_out(self, folder: str, read: DataFrame) -> DataFrame:
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{self.root}/{folder}")
+        at = F.col("_metadata.file_path")  # both sides name a file alike, with the same escapes
+        files = listing.select(at.alias("_at"), F.col("path"), F.col("length")).where(~F.col("path").rlike(r"/[_.][^/]*$"))
+        met = files.join(read, "_at", "left")
+        reason = (
+            F.when(F.col("n_records").isNull(), "no rows")
+            .when(F.col("n_broken") == F.col("n_records"), "no record parses")
+            .when(F.col("n_broken") > 0, "broken records")
+            .when(F.col("n_unkeyed") > 0, "records without key")
+        )
+        counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_records", "n_broken", "n_unkeyed")]
+        return met.select("path", "length", *counts, reason.alias("reason")).where("reason IS NOT NULL")
+
     # ---- listings ----
 
     def _files(self, folder: str) -> DataFrame:
