@@ -134,6 +134,20 @@ def test_chat_repeats_and_null_turns(spark):
     assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == plain_chat(rows)[1]
 
 
+def test_chat_sql_equals_operator_on_odd_turns(spark, tmp_path):
+    said = ["", None, "abc\\", "abc\\\\", "a\\b", "</turn>\\", "\\### x", "### User: ", "### no head", "\\</turn>", "line\n### -: x", "é\\"]
+    roles = ["user", "assistant", None, "system", "tool call/é", "User"]
+    rows = [(len(said) * i + j, 0, r, t) for i, r in enumerate(roles) for j, t in enumerate(said)]
+    rows += [(1000, j, roles[j % 6], t) for j, t in enumerate(said)]
+    turns(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    got = queries.op8_chat(spark, str(tmp_path)).select(*names).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL['op8_chat']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_chat_escapes_only_conflicts():
     assert chat.render("user", "a\\b") == ("### User: a\\b</turn>\n", 0)
     assert chat.render("assistant", "x</turn>") == ("### Assistant: x\\</turn></turn>\n", 1)

@@ -113,15 +113,16 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 e AS (
   SELECT *, CASE
-    WHEN NOT regexp_matches(text, '</turn>|### (?:[A-Za-z]+|-|=[A-Za-z0-9%_.~-]*): |\\(?:\\|### )') THEN 0
-    WHEN NOT regexp_matches(text, '\\(?:\\|</turn>|### )') THEN len(regexp_extract_all(text, '</turn>|### '))
-    ELSE len(regexp_extract_all(text, '\\|</turn>|### ')) END AS escapes
+    WHEN NOT regexp_matches(text, '</turn>|### (?:[A-Za-z]+|-|=[A-Za-z0-9%_.~-]*): |\\(?:\\|### |$)') THEN 0
+    WHEN NOT regexp_matches(text, '\\(?:\\|</turn>|### (?:[A-Za-z]+|-|=[A-Za-z0-9%_.~-]*): |$)') THEN len(regexp_extract_all(text, '</turn>|### '))
+    ELSE len(regexp_extract_all(text, '\\|</turn>|### ')) END AS escapes,
+    CASE WHEN role IS NULL THEN 1 WHEN role IN ('system', 'user', 'assistant') THEN length(role) ELSE 1 + length(url_encode(role)) END AS name
   FROM t)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('### ') + length(role) + length(': ') + length(text) + escapes + length('</turn>') + 1) AS BIGINT) AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ') + name + length(': ') + length(text) + escapes + length('</turn>') + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
 
