@@ -20,6 +20,8 @@ from tickloom.session import materialise, round_tables
 CORRELATION_WINDOWS = (30, 60, 90, 126)
 MIN_CORRELATION, MAX_PEERS = 0.4, 10
 MIN_OBSERVATIONS, MAX_LAG, MIN_CCF, LEAD_LAG_ROWS = 50, 5, 0.3, 60
+#: Distances that one step of ``neighbour_information`` holds at once; a longer series is one pair at a time.
+NEIGHBOUR_CELLS = 2_000_000
 COINTEGRATION_ROWS, MIN_HALF_LIFE, MAX_HALF_LIFE = 126, 1.0, 30.0
 
 
@@ -224,6 +226,44 @@ def mutual_information(df: DataFrame, value: str = "log_return", window: int = 1
     return pr.pair_statistics(indexed(df, value, window), kernel, "n long, mi double")
 
 
+def neighbour_information(df: DataFrame, value: str = "log_return", window: int = 126, k: int = 3) -> DataFrame:
+    """Mutual information of each pair (nats) from distances to the ``k``-th nearest neighbour; no bins.
+
+    The first estimator of Kraskov, Stögbauer and Grassberger (2004): values are divided by their deviation over the common dates, a
+    point's reach is the larger of its two distances to the k-th nearest other point, and points that are strictly nearer along one side alone
+    are counted. Below 0 it is 0; null with ``k`` common dates or fewer. Equal values count as they are, without noise, so the result is the
+    same on every run; a series without spread has no information.
+    """
+
+    def kernel(a, b):
+        both = ~np.isnan(a) & ~np.isnan(b)
+        n = both.sum(1)
+        psi = np.concatenate([[np.nan], np.cumsum(np.concatenate([[-np.euler_gamma], 1.0 / np.arange(1, a.shape[1] + 1)]))])
+        mi = np.full(len(a), np.nan)
+        step = max(1, NEIGHBOUR_CELLS // a.shape[1] ** 2)
+        for s in range(0, len(a), step):
+            part, ok = slice(s, s + step), both[s : s + step]
+            apart = []
+            for x in (a[part], b[part]):
+                x = np.where(ok, x, np.nan)
+                spread = np.nanstd(x, axis=1, keepdims=True)
+                x = x / np.where(spread > 0, spread, 1.0)
+                d = np.abs(x[:, :, None] - x[:, None, :])
+                d[np.isnan(d)] = np.inf
+                d[:, np.arange(d.shape[1]), np.arange(d.shape[1])] = np.inf
+                apart.append(d)
+            if a.shape[1] <= k:
+                continue
+            reach = np.partition(np.maximum(*apart), k - 1, axis=2)[:, :, k - 1 : k]
+            near = sum(psi[(d < reach).sum(2) + 1] for d in apart)
+            m = n[part]
+            mean = np.where(ok, near, 0.0).sum(1) / m
+            mi[part] = np.where(m > k, np.maximum(0.0, psi[k] + psi[m] - mean), np.nan)
+        return {"n": n.astype("int64"), "mi": mi}
+
+    return pr.pair_statistics(indexed(df, value, window), kernel, "n long, mi double")
+
+
 def mutual_information_top(edges: DataFrame, share: float = 0.75) -> DataFrame:
     """Pairs above the quantile of all scores, with their rank."""
     from tickloom.functions.ranks import quantiles

@@ -174,6 +174,27 @@ register(
     lambda s, sf: rounded(rel.mutual_information(_returns(s, sf))),
     with_ctes([*_BASE, _last(126), _pairs(), _RANKED, _MI], f"SELECT instrument_i, instrument_j, n, {r('mi', 'mi')} FROM mi"),
 )
+# The constant of the digamma function cancels, so harmonic sums stand for it.
+_NEAR = """
+sd AS (SELECT instrument_i, instrument_j, count(*) AS n, stddev_pop(x) AS sx, stddev_pop(y) AS sy FROM pairs GROUP BY 1, 2),
+zs AS (SELECT instrument_i, instrument_j, date, n, x / sx AS x, y / sy AS y FROM pairs JOIN sd USING (instrument_i, instrument_j) WHERE n > 3),
+dd AS (SELECT a.instrument_i, a.instrument_j, a.date, a.n, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy
+  FROM zs a JOIN zs b ON a.instrument_i = b.instrument_i AND a.instrument_j = b.instrument_j AND a.date <> b.date),
+rc AS (SELECT instrument_i, instrument_j, date, min(greatest(dx, dy), 3)[3] AS reach FROM dd GROUP BY 1, 2, 3),
+nr AS (SELECT instrument_i, instrument_j, date, any_value(n) AS n, count(*) FILTER (dx < reach) + 1 AS nx, count(*) FILTER (dy < reach) + 1 AS ny
+  FROM dd JOIN rc USING (instrument_i, instrument_j, date) GROUP BY 1, 2, 3),
+hs AS (SELECT m, coalesce(sum(1.0::DOUBLE / (m - 1)) FILTER (m > 1) OVER (ORDER BY m), 0) AS h FROM range(1, 200) t(m)),
+km AS (SELECT nr.instrument_i, nr.instrument_j, any_value(nr.n) AS n, greatest(0, any_value(k.h) + any_value(w.h) - avg(hx.h + hy.h)) AS mi
+  FROM nr JOIN hs hx ON hx.m = nx JOIN hs hy ON hy.m = ny JOIN hs w ON w.m = nr.n JOIN hs k ON k.m = 3 GROUP BY 1, 2)"""
+register(
+    "neighbour_information",
+    "STAT-9",
+    lambda s, sf: rounded(rel.neighbour_information(_returns(s, sf))),
+    with_ctes(
+        [*_BASE, _last(126), _pairs(), _NEAR],
+        f"SELECT sd.instrument_i, sd.instrument_j, sd.n, {r('mi', 'mi')} FROM sd LEFT JOIN km USING (instrument_i, instrument_j)",
+    ),
+)
 register(
     "mutual_information_top",
     "STAT-9",
