@@ -14,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import near_copies, packing, quality_rules, secret_linking
-from tickloom.llm.common import stored, table, text_of
+from tickloom.llm import near_copies, packing, quality_rules, secret_linking, simhash
+from tickloom.llm.common import discard, stored, table, text_of
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,13 +27,35 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality_rules.judge(row, rules).where("kept").select("row.*")
 
 
+def _kept_ids(docs: DataFrame) -> DataFrame:
+    """(kept_id, n_rows): the smallest id of each class, and the rows that make it so.
+
+    Ids may repeat, so a row is known by the hash of its id and text. Classes of both kinds are named after a row of theirs, and every
+    row joins its two classes: only these names go through the components, so copies meet there as one link.
+    """
+    row = F.xxhash64("doc_id", "text").alias("row")
+    rows = docs.select(row, "text")
+    by_bits = simhash.near_duplicates(rows, id_col="row").groupBy(F.col("id").alias("row")).agg(F.min("component").alias("a"))
+    by_words = near_copies.near_copies(rows, words=5, least=0.8, id_col="row").groupBy(F.col("id").alias("row")).agg(F.min("component").alias("b"))
+    named = docs.select(row, "doc_id").groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    both, both_path = stored(named.join(by_bits.hint("merge"), "row").join(by_words.hint("merge"), "row"), "both")
+    roots, roots_path = stored(simhash.components(both.select("a", "b")).withColumnRenamed("node", "a"), "roots")
+    first = F.min(F.struct("doc_id", "n")).alias("first")
+    least = both.groupBy("a", "doc_id").agg(F.sum("n").alias("n")).groupBy("a").agg(first)
+    joined = least.join(roots.hint("merge"), "a", "left").select(F.coalesce("root", "a").alias("root"), "first.*")
+    classes = joined.groupBy("root", "doc_id").agg(F.sum("n").alias("n")).groupBy("root").agg(first)
+    keep, _ = stored(classes.groupBy(F.col("first.doc_id").alias("kept_id")).agg(F.sum("first.n").alias("n_rows")), "kept")
+    discard(docs.sparkSession, both_path, roots_path)
+    return keep
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, that with the smallest id; of equal rows under that id, one.
 
-    Documents are linked if their sets of five-word shingles have a similarity of 0.8 at least; ``op5`` holds to four bits of a SimHash.
+    Documents are linked by the SimHash of ``op5`` (four-word shingles, four bits at most), and if their sets of five-word shingles have a
+    similarity of 0.8 at least: four bits alone miss many such pairs. A class is what either link reaches.
     """
-    found = near_copies.near_copies(docs, words=5, least=0.8).where("id = component")
-    keep, _ = stored(found.groupBy(F.col("id").alias("kept_id")).agg(F.count("*").alias("n_rows")), "kept")
+    keep = _kept_ids(docs.where("doc_id IS NOT NULL"))
     many = keep.where("n_rows > 1")
     # a merge join at every size: the ids grow with the documents and compress well, so their file size is no bound
     staying = docs.join(keep.hint("merge"), F.col("doc_id") == F.col("kept_id"), "left_semi")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import chat, near_copies, packing, queries, quality_rules, secret_linking, url_rules, warc
+from tickloom.llm import chat, near_copies, packing, queries, quality_rules, secret_linking, simhash, url_rules, warc
 from tickloom.llm.common import table
 from tickloom.session import scratch
 
@@ -236,6 +236,35 @@ def test_stages_on_odd_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == 0
 
 
+def test_near_copy_stage_links_by_bits_and_by_words(spark):
+    """Texts below similarity 0.8 whose fingerprints are four bits apart at most, and pairs that only the words link."""
+    r = random.Random(31)
+    pairs = {}
+    for k in range(3_000):
+        one = [f"w{r.randrange(500)}" for _ in range(60)]
+        two = [f"x{j}" if j in ((20,) if k % 3 == 0 else (20, 40)) else w for j, w in enumerate(one)]
+        pair = [" ".join(one), " ".join(two)]
+        x, y = (set(near_copies.shingles(t).tolist()) for t in pair)
+        kind = (len(x & y) >= 0.8 * len(x | y), (simhash.fingerprint(pair[0]) ^ simhash.fingerprint(pair[1])).bit_count() <= 4)
+        pairs.setdefault(kind, []).append(pair)
+    assert len(pairs) == 4
+    texts = [t for kind in sorted(pairs) for pair in pairs[kind][:3] for t in pair]
+    # ids repeat: two texts under one id link no classes of each other's
+    rows = [*enumerate(texts, 10), (10, "another text under the id of the first"), (3, "another text under the id of the first"), (3, texts[-1])]
+    sets = [set(near_copies.shingles(t).tolist()) for _, t in rows]
+    bits = [simhash.fingerprint(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (bits[i] ^ bits[j]).bit_count() <= 4:
+                root = [root[j] if c == root[i] else c for c in root]
+    least = {c: min(rows[i][0] for i in range(len(rows)) if root[i] == c) for c in root}
+    want = {(i, t) for i, t in rows if i in set(least.values())}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id bigint, text string, lang string")
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_pipeline_equals_its_parts(spark):
     """run() against its stages done one by one in plain Python from the operators' own results."""
     rows = corpus_pipeline.run(spark, SF).collect()
