@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import numpy as np
 import pandas as pd
@@ -115,6 +116,34 @@ def test_cross_ranks_match_pandas_when_a_date_is_split(spark):
     assert len(both) == 160 and np.allclose(both.pct_rank, both.pct) and np.allclose(both.zscore, both.zs)
 
 
+def test_cross_ranks_sort_rows_once_and_split_large_dates(spark):
+    """Ties, a value of most rows, NaN, zeros of both signs and null keys, in whole and in split groups."""
+    rng = np.random.default_rng(4)
+    days = [D(2024, 1, 1)] * 300 + [D(2024, 1, 2)] * 60 + [D(2024, 1, 3)] * 3
+    f = np.where(rng.random(363) < 0.6, 0.5, np.round(rng.normal(size=363), 1))
+    f[:4], f[300:303] = [np.nan, np.nan, 0.0, -0.0], [np.nan, 0.0, -0.0]
+    rows = [(f"i{k}", d, float(v)) for k, (d, v) in enumerate(zip(days, f))]
+    odd = [(None, D(2024, 1, 2), 0.5), ("n", None, 1.0), ("m", D(2024, 1, 2), None)]
+    df = spark.createDataFrame(rows + odd, "instrument string, date date, f double")
+    whole = [(d, np.inf if np.isnan(v) else v) for _, d, v in [*rows, odd[0]]]
+    want = {}
+    for d, v in whole:
+        same = [w for e, w in whole if e == d]
+        less, upto = sum(w < v for w in same), sum(w <= v for w in same)
+        want[d, v] = ((less + upto + 1) / 2, len(same))
+    for most in (20, 100, 1_000):
+        got = x.cross_ranks(df, ["f"], ["rank", "pct_rank"], rows_per_bucket=most).collect()
+        assert sorted(str(r.instrument) for r in got) == sorted(str(i) for i, *_ in [*rows, odd[0]])
+        for r in got:
+            rank, n = want[r.date, np.inf if np.isnan(r.value) else r.value]
+            assert r["rank"] == rank and r.pct_rank == rank / n
+        deciles = {(r.instrument, r.date): r.decile for r in x.cross_ranks(df, ["f"], ["decile"], rows_per_bucket=most).collect()}
+        assert len(deciles) == 364 and (most == 20 or deciles == kept)
+        kept = deciles
+    plan = x.cross_ranks(df, ["f"], ["pct_rank"])._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"value#\d+ = value#\d+", plan)  # nothing is joined back by value
+
+
 def test_next_and_prior_event_beyond_the_bars(spark):
     bars = spark.createDataFrame([("A", D(2024, 1, d)) for d in (2, 5, 9)] + [("B", D(2024, 1, 2))], "instrument string, date date")
     ev = spark.createDataFrame([("A", D(2024, 1, 4)), ("A", D(2024, 1, 4)), ("A", D(2024, 1, 20))], "instrument string, date date")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.frames import KEYS, ORDER, last_rows, roll_std, row_mean, series
-from tickloom.functions.ranks import ROWS_PER_BUCKET, quantiles_of, value_ranks
+from tickloom.functions.ranks import ROWS_PER_BUCKET, quantiles_of, ranked_rows
 from tickloom.operators.technical import TRADING_DAYS
 
 BETA_WINDOWS = (30, 60, 126, 252)
@@ -95,20 +95,21 @@ def cross_ranks(
 ) -> DataFrame:
     """Long table (instrument, date, feature, value, *measures).
 
-    All features share one pass. Every measure depends on (feature, date, value) only, so
-    it is worked out on the distinct values and joined back once.
+    All features share one pass. Ranks come from one shuffle and sort of the rows; decile edges, means and deviations have one
+    row per feature and date, which the calendar bounds, and are broadcast.
     """
     long = df.unpivot(["instrument", "date"], list(features), "feature", "value").where(
         F.col("value").isNotNull()
     )
     group = ["feature", "date"]
-    table = value_ranks(long, group, "value", rows_per_bucket)
-    rank = F.col("_below") + (F.col("_c") + 1) / 2.0
+    table = ranked_rows(long, group, "value", rows_per_bucket)
+    rank = F.col("_below") + (F.col("_upto") - F.col("_below") + 1) / 2.0
     out = {"rank": rank, "pct_rank": rank / F.col("_size")}
     if "decile" in measures:
         names = [f"_e{i}" for i in range(1, 10)]
-        edges = quantiles_of(table, group, "value", [i / 10 for i in range(1, 10)], names)
-        table = table.join(edges, group)
+        counted = table.withColumn("_c", F.col("_upto") - F.col("_below"))
+        edges = quantiles_of(counted, group, "value", [i / 10 for i in range(1, 10)], names)
+        table = table.join(F.broadcast(edges), group)
         bins = F.lit(1)
         for e in names:
             bins = bins + F.when(F.col("value") > F.col(e), 1).otherwise(0)
@@ -117,9 +118,9 @@ def cross_ranks(
         stats = long.groupBy(*group).agg(
             F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s")
         )
-        table = table.join(stats, group)
+        table = table.join(F.broadcast(stats), group)
         out["zscore"] = (F.col("value") - F.col("_m")) / (F.col("_s") + 1e-10)
-    return long.join(table.select(*group, "value", *[out[m].alias(m) for m in measures]), [*group, "value"])
+    return table.select(*group, "value", "instrument", *[out[m].alias(m) for m in measures])
 
 
 def widen(long: DataFrame, features: Sequence[str], measures: dict[str, str]) -> DataFrame:
