@@ -57,6 +57,38 @@ def test_chunks_give_the_ids_of_whole_texts():
         assert np.frombuffer(raw, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:50])
 
 
+@pytest.mark.parametrize("texts", [[], [""], ["a"], ["", "b"], ["\n"], ["a b"], ["a  b", "", "c"], ["\u3000 x", "é É\u00aa ƻ! x\u0301"]])
+def test_few_texts(texts):
+    library, coder = tokenizers.Tokenizer.from_file(PATH), ChunkIds(PATH)
+    for _ in range(2):
+        got = [np.frombuffer(raw, "<u2").tolist() for raw in coder.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_is_merged_once_whatever_closes_it(monkeypatch):
+    coder, merged, asked = ChunkIds(PATH), [], []
+    words, whole = coder.merges.words, coder.whole
+    monkeypatch.setattr(coder.merges, "words", lambda w: merged.extend(w) or words(w))
+    monkeypatch.setattr(coder, "whole", lambda t: asked.append(t) or whole(t))
+    texts = ["go " + " ".join(w + m for w in ("blue", "größe") for m in ("", ",", ".", "...", "?!")) + "\nblue, \nblue", "go  on.\n\nThen blue.\n\nThen"]
+    library = tokenizers.Tokenizer.from_file(PATH)
+    for _ in range(2):
+        for text, raw in zip(texts, coder.encode(texts), strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(w for w in merged if w.strip() in (b"blue", "größe".encode())) == sorted([b" blue", " größe".encode(), b"blue"])
+    assert asked.count(" blue.\n\nThen") == 1  # chunks of texts with double spaces are remembered as well
+
+
+def test_small_memories_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr("tickloom.llm.token_store.REMEMBERED", 20)
+    library, coder, r = tokenizers.Tokenizer.from_file(PATH), ChunkIds(PATH), random.Random(5)
+    for _ in range(60):
+        texts = [" ".join("".join(r.choices("abé", k=r.randint(1, 4))) + r.choice(["", ".", "\nx", " ", "7"]) for _ in range(9)) for _ in range(3)]
+        for text, raw in zip(texts, coder.encode(texts), strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(coder.known) < 100
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1_000, 50_000])
 def test_perfect_hash_is_minimal(n):
     rng = np.random.default_rng(n)
